@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import url_filter_sql
 from .embedding_dedup import near_vectors
 from .near_dedup import near_duplicates
+from .packing import pack
 from .url_filter import filter_urls
 
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
@@ -18,6 +20,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer() -> tuple[str, tuple[str, str]]:
+    """The 50k byte-level vocabulary: its file, and its ranks with the splitting pattern."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json"), (public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def digest(pieces: DataFrame) -> DataFrame:
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, ranks = tokenizer()
+    return digest(pack(spark, table(spark, sf_dir, "documents"), path, ranks=ranks))
+
+
 def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(spark, table(spark, sf_dir, "embeddings"))
 

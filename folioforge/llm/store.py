@@ -29,11 +29,11 @@ class Scratch:
         self.count = 0
         self.paths: dict[int, str] = {}
 
-    def save(self, df: DataFrame) -> DataFrame:
+    def save(self, df: DataFrame, compression: str = "snappy") -> DataFrame:
         """Write ``df`` and read it back."""
         self.count += 1
         path = f"{self.root}/{self.count}"
-        df.write.parquet(path)
+        df.write.parquet(path, compression=compression)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(out)] = path
         out._scratch_path = path
