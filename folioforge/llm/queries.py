@@ -11,6 +11,7 @@ from . import url_filter_sql
 from .embedding_dedup import near_vectors
 from .near_dedup import near_duplicates
 from .packing import pack
+from .quality import judge
 from .url_filter import filter_urls
 
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
@@ -40,6 +41,11 @@ def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(spark, table(spark, sf_dir, "embeddings"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = judge(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "lang", "perplexity", "threshold", "accepted")
+
+
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark, table(spark, sf_dir, "documents"))
 
