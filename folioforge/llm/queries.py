@@ -12,6 +12,7 @@ from .embedding_dedup import near_vectors
 from .near_dedup import near_duplicates
 from .packing import pack
 from .quality import judge
+from .toxicity import toxicity
 from .url_filter import filter_urls
 
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
@@ -37,6 +38,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(pack(spark, table(spark, sf_dir, "documents"), path, ranks=ranks))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(spark, table(spark, sf_dir, "embeddings"))
 
