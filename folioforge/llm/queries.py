@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import url_filter_sql
+from .decontaminate import contaminated
 from .embedding_dedup import near_vectors
 from .near_dedup import near_duplicates
 from .packing import pack
@@ -59,6 +60,10 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), URL_RULES).drop("score")
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
