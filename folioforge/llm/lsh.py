@@ -40,7 +40,7 @@ def pair_filter(estimate: Callable, least: float) -> Callable:
     return run
 
 
-def forest(table: pa.Table, threshold: tuple[int, int], estimate: Callable) -> list[tuple[int, int]]:
+def forest(table: pa.Table, threshold: tuple[int, int], estimate: Callable, slack: float) -> list[tuple[int, int]]:
     """Links (node, root) of the similar sets in a pair of blocks; pairs inside one tree are not looked at."""
     nodes = table.column("node").to_numpy()
     side = table.column("side").to_numpy()
@@ -62,7 +62,7 @@ def forest(table: pa.Table, threshold: tuple[int, int], estimate: Callable) -> l
         return sets[i]
 
     part, whole = threshold
-    least = part / whole - SLACK
+    least = part / whole - slack
     one_block = side.min() == side.max()
     order = np.argsort(-n, kind="stable")
     for k, i in enumerate(order.tolist()):
@@ -91,23 +91,25 @@ def forest(table: pa.Table, threshold: tuple[int, int], estimate: Callable) -> l
     return [(int(nodes[i]), int(nodes[find(i)])) for i in range(len(nodes)) if find(i) != i]
 
 
-def similar(scratch: Scratch, sketches: DataFrame, packed: Callable[[DataFrame], DataFrame], *, estimate: Callable = sketch.joint_estimate, threshold: tuple[int, int] = (75, 100)) -> DataFrame:
+def similar(scratch: Scratch, rows: DataFrame, sketches: DataFrame, packed: Callable[[DataFrame], DataFrame], *, estimate: Callable = sketch.joint_estimate, slack: float = SLACK, threshold: tuple[int, int] = (75, 100)) -> DataFrame:
     """``node, component`` for every set that is linked with another.
 
-    ``sketches``: node LONG (unique), n LONG, regs BINARY, bands ARRAY<LONG>. ``packed`` takes a table of
-    nodes and returns ``node, sh`` with the sets' shingles as little-endian 64-bit words.
+    ``rows``: node LONG and key LONG, one for each band of each set, repeats allowed. ``sketches``: node, n
+    LONG, regs BINARY, repeats allowed. ``packed`` takes a table of distinct nodes and returns ``node, sh``
+    with the sets' sorted shingles as little-endian 64-bit words, a row each.
     """
-    spark = scratch.spark
-    rows = sketches.select("node", F.explode("bands").alias("key"))
     hubs = rows.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
     pairs = rows.join(hubs, "key").select("node", F.explode(F.array("lo", "hi")).alias("hub")).where("node <> hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
     pairs = scratch.save(pairs)
-    side = lambda x: sketches.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("regs").alias(f"r{x}"))
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    few = scratch.save(sketches.join(wanted, "node").groupBy("node").agg(F.max("n").alias("n"), F.first("regs").alias("regs")))
+    side = lambda x: few.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("regs").alias(f"r{x}"))
     loose = pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(pair_filter(estimate, LOOSE), "a long, b long")
     clusters = scratch.save(components(loose, scratch))
     scratch.drop(pairs)
-    members = clusters.join(sketches.select("node", "n", "regs"), "node")
-    blocks = clusters.join(sketches.select("node", "n"), "node").groupBy("component").agg(F.ceil(F.sum(F.col("n") + 64) / BLOCK).cast("long").alias("blocks"))
+    members = scratch.save(clusters.join(few, "node"))
+    scratch.drop(few)
+    blocks = members.groupBy("component").agg(F.ceil(F.sum(F.col("n") + 64) / BLOCK).cast("long").alias("blocks"))
     members = members.join(blocks, "component").join(packed(clusters.select("node")), "node")
     mine = F.pmod(F.xxhash64("node"), F.col("blocks"))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
@@ -115,7 +117,7 @@ def similar(scratch: Scratch, sketches: DataFrame, packed: Callable[[DataFrame],
     dealt = dealt.select("component", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), F.col("mine").cast("long").alias("side"), "node", "n", "regs", "sh")
 
     def check(table: pa.Table) -> pa.Table:
-        links = forest(table, threshold, estimate)
+        links = forest(table, threshold, estimate, slack)
         return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
 
     links = scratch.save(dealt.groupBy("component", "i", "j").applyInArrow(check, "a long, b long"))

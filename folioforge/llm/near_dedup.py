@@ -67,7 +67,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, scratch: Scratch | Non
             ids = F.broadcast(ids)
         return base.join(ids, "doc_id", "left_semi").select(F.col("doc_id").alias("node"), "text").mapInArrow(_pack, "node long, sh binary")
 
-    linked = similar(scratch, sets.select("node", "n", "regs", "bands"), packed)
+    linked = similar(scratch, sets.select("node", F.explode("bands").alias("key")), sets.select("node", "n", "regs"), packed)
     of_set = scratch.save(sets.select("sid", "node").join(linked, "node", "left").select("sid", F.coalesce("component", "node").alias("component")))
     joined = seen.select("doc_id", F.col("n").alias("n_shingles"), "sid").join(of_set, "sid", "left")
     comp = F.when(F.col("doc_id").isNull() | F.col("sid").isNull() | F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("component"))

@@ -13,6 +13,7 @@ from .embedding_dedup import near_vectors
 from .near_dedup import near_duplicates
 from .packing import pack
 from .quality import judge
+from .substring_dedup import repeated_passages
 from .toxicity import toxicity
 from .url_filter import filter_urls
 
@@ -34,6 +35,10 @@ def digest(pieces: DataFrame) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(spark, table(spark, sf_dir, "documents"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, ranks = tokenizer()
     return digest(pack(spark, table(spark, sf_dir, "documents"), path, ranks=ranks))

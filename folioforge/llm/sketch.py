@@ -40,6 +40,28 @@ def min_hash(sh: np.ndarray) -> np.ndarray:
     return (minima(sh) & np.uint32(0xFFFF)).astype(np.uint16)
 
 
+def min_hash_segments(sh: np.ndarray, starts: np.ndarray, m: int) -> np.ndarray:
+    """16-bit MinHash registers of the consecutive, non-empty segments of ``sh`` that begin at ``starts``."""
+    low = (sh >> np.uint64(32)).astype(np.uint32)
+    out = np.empty((len(starts), m), np.uint16)
+    ends = np.append(starts[1:], len(low))
+    at = 0
+    while at < len(starts):
+        end = max(at + 1, int(np.searchsorted(ends, starts[at] + 8192, side="right")))
+        a, b = starts[at], ends[end - 1]
+        best = None
+        for s in range(a, b, 8192 if end == at + 1 else b - a):
+            x = low[s : min(b, s + 8192) if end == at + 1 else b, None] ^ _XOR[None, :m]
+            x *= _MUL[None, :m]
+            x ^= x >> np.uint32(15)
+            x *= np.uint32(0x2C1B3C6D)
+            part = np.minimum.reduceat(x, starts[at:end] - a if end > at + 1 else np.array([0]), axis=0)
+            best = part if best is None else np.minimum(best, part)
+        out[at:end] = (best & np.uint32(0xFFFF)).astype(np.uint16)
+        at = end
+    return out
+
+
 def bands(regs: np.ndarray, rows: int, count: int) -> np.ndarray:
     """A 64-bit key for each of ``count`` bands of ``rows`` registers; the band's number is part of it."""
     r = regs[: rows * count].reshape(count, rows).astype(np.uint64) + np.uint64(1)
