@@ -72,3 +72,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, scratch: Scratch | Non
     joined = seen.select("doc_id", F.col("n").alias("n_shingles"), "sid").join(of_set, "sid", "left")
     comp = F.when(F.col("doc_id").isNull() | F.col("sid").isNull() | F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("component"))
     return joined.select("doc_id", "n_shingles", comp.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
+    """The rows of ``docs``, with their columns, that are the first document of their component.
+
+    Rows that share the kept doc_id, and rows with a null doc_id, all stay.
+    """
+    found = near_duplicates(spark, docs, scratch)
+    gone = found.where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
+    if gone.count() <= BROADCAST_IDS:
+        gone = F.broadcast(gone)
+    return docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")

@@ -35,6 +35,13 @@ def digest(pieces: DataFrame) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def recount(docs: DataFrame, before: DataFrame) -> DataFrame:
+    """``docs`` with the number of code points in ``n_chars``, if the table has that column."""
+    if "n_chars" not in before.columns:
+        return docs
+    return docs.withColumn("n_chars", F.length("text").cast(before.schema["n_chars"].dataType)).select(*before.columns)
+
+
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(spark, table(spark, sf_dir, "documents"))
 
