@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import url_filter_sql
 from .decontaminate import contaminated
 from .embedding_dedup import near_vectors
+from .html_extract import extract
 from .near_dedup import near_duplicates
 from .packing import pack
 from .quality import judge
@@ -59,6 +60,10 @@ def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(spark, table(spark, sf_dir, "embeddings"))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(spark, table(spark, sf_dir, "pages"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = judge(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return out.select("doc_id", "lang", "perplexity", "threshold", "accepted")
