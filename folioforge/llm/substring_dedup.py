@@ -215,8 +215,6 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, scratch: Scratch | N
     """
     scratch = scratch or Scratch(spark, "substring-dedup")
     marks = marked(spark, docs, scratch)
-    if marks.count() <= BROADCAST_IDS // 10:
-        marks = F.broadcast(marks)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(marks, "doc_id")
     cut = rows.select(F.col("doc_id").alias("row"), "text", "place", "place_kept", "line", "line_kept").mapInArrow(_cut, f"row long, spans {SPANS_SQL}")
     return cut.select(F.col("row").alias("doc_id"), F.inline("spans"))
@@ -226,8 +224,6 @@ def without_passages(spark: SparkSession, docs: DataFrame, scratch: Scratch | No
     """``docs`` with the repeated passages cut out of ``text``; rows that lose all their words are left out."""
     scratch = scratch or Scratch(spark, "substring-dedup")
     marks = marked(spark, docs, scratch)
-    if marks.count() <= BROADCAST_IDS // 10:
-        marks = F.broadcast(marks)
     names = docs.columns
     m = marks.select(F.col("doc_id").alias("_id"), F.struct("place", "place_kept", "line", "line_kept").alias("_marks"))
     rows = docs.join(m, F.col("doc_id").cast("long") == F.col("_id"), "left")
