@@ -11,6 +11,7 @@ from . import url_filter_sql
 from .decontaminate import contaminated
 from .embedding_dedup import near_vectors
 from .html_extract import extract
+from .maxent_lm import score_texts
 from .near_dedup import near_duplicates
 from .packing import pack
 from .quality import judge
@@ -73,6 +74,10 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark, table(spark, sf_dir, "documents"))
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(spark, table(spark, sf_dir, "documents"))
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), URL_RULES).drop("score")
 
