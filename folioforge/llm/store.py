@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -48,3 +49,5 @@ class Scratch:
             if path:
                 p = jvm.org.apache.hadoop.fs.Path(path)
                 p.getFileSystem(conf).delete(p, True)
+        gc.collect()
+        jvm.System.gc()  # so that Spark's cleaner drops the shuffle files that led to them
