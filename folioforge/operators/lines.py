@@ -26,16 +26,16 @@ def running_lines(pages: DataFrame, doc: str, page: str, text: str = "text") ->
     Documents of fewer than three pages have none.
     """
     # counted beside the lines, so that no count of lines stands for a count of pages
-    many = pages.groupBy(doc).agg(F.countDistinct(page).alias("_all"))
+    many = pages.select(F.col(doc).alias("_doc"), F.col(page).alias("_page")).groupBy("_doc").agg(F.countDistinct("_page").alias("_all"))
     each = to_lines(pages.select(doc, page, text), text).select(doc, page, trim_controls(F.col("line")).alias("line")).where(F.length("line") > 3).distinct()
     seen = each.groupBy(doc, "line").agg(F.count(F.lit(1)).alias("pages"))
-    return seen.join(many, doc).where((F.col("_all") >= 3) & (F.col("pages") >= F.greatest(F.lit(3), F.floor(F.col("_all") / 4)))).drop("_all")
+    return seen.join(many, F.col(doc) == F.col("_doc")).drop("_doc").where((F.col("_all") >= 3) & (F.col("pages") >= F.greatest(F.lit(3), F.floor(F.col("_all") / 4)))).drop("_all")
 
 
 def strip_running(pages: DataFrame, doc: str, page: str, text: str = "text") -> DataFrame:
     """``doc, page, text`` without running lines; a page of a document that has any ends each line with a line feed."""
-    running = running_lines(pages, doc, page, text).groupBy(doc).agg(F.collect_set("line").alias("_running"))
-    joined = pages.select(doc, page, text).join(running, doc, "left")
+    running = running_lines(pages, doc, page, text).select(F.col(doc).alias("_doc"), "line").groupBy("_doc").agg(F.collect_set("line").alias("_running"))
+    joined = pages.select(doc, page, text).join(running, F.col(doc) == F.col("_doc"), "left")
     kept = F.filter(lines(F.col(text)), lambda x: ~F.array_contains(F.col("_running"), trim_controls(x)))
     return joined.select(doc, page, F.when(F.col("_running").isNull(), F.col(text)).otherwise(F.array_join(F.transform(kept, lambda x: F.concat(x, F.lit("\n"))), "")).alias(text))
 

@@ -138,9 +138,10 @@ def classify_map(image: np.ndarray, config: Config = Config()) -> dict:
         if not counts.any():
             continue
         found = peaks(counts / counts.max(), config.min_peak_strength, config.peak_merge_window)
-        families = {a: r[np.minimum(np.abs(t - a), 180 - np.abs(t - a)) <= config.peak_merge_window].tolist() for a, _ in found}
-        out = _hex(found, families, config) or _grid(found, families, config)
-        if out:
+        families = {a: r[t == a].tolist() for a, _ in found}
+        fits = [f for f in (_hex(found, families, config), _grid(found, families, config)) if f]
+        if fits:
+            out = max(fits, key=lambda f: f["confidence"])
             return out | {"sections": map_sections(image, max(1, int(min(out["cell_w"], out["cell_h"]) * config.min_section_gap_factor)))}
     return {"type": "NON_MAP", "confidence": 0.0, "angles": [], "cell_w": 0.0, "cell_h": 0.0, "sections": map_sections(image, 20)}
 
@@ -157,26 +158,32 @@ def _fit(found: list[tuple[int, float]], targets: list[int], tolerance: int) ->
 
 
 def _grid(found: list, families: dict, config: Config) -> dict | None:
+    """The most confident pair of directions at right angles."""
+    best = None
     for turn in range(90):
         fit = _fit(found, [turn, (turn + 90) % 180], config.grid_angle_tolerance)
         if fit and all(s >= config.min_grid_peak for _, s in fit):
             (w, cw, nw), (h, ch, nh) = (spacing(families[a]) for a, _ in fit)
             if min(nw, nh) >= config.min_regular_lines and min(w, h) > 0 and 0.7 <= w / h <= 1.43:
                 strength = sum(s for _, s in fit) / 2
-                return {"type": "GRID_MAP", "confidence": min(1.0, 0.4 * strength + 0.4 * (1 - (cw + ch) / 2) + 0.2), "angles": [float(a) for a, _ in fit], "cell_w": w, "cell_h": h}
-    return None
+                fitted = {"type": "GRID_MAP", "confidence": min(1.0, 0.4 * strength + 0.4 * (1 - (cw + ch) / 2) + 0.2), "angles": [float(a) for a, _ in fit], "cell_w": w, "cell_h": h}
+                best = max(best or fitted, fitted, key=lambda f: f["confidence"])
+    return best
 
 
 def _hex(found: list, families: dict, config: Config) -> dict | None:
-    for turn in range(180):
+    """The most confident triple of directions 60 degrees apart."""
+    best = None
+    for turn in range(60):
         fit = _fit(found, [turn, (turn + 60) % 180, (turn + 120) % 180], config.hex_angle_tolerance)
         if fit and sum(s >= config.min_hex_peak for _, s in fit) >= 2:
             parts = [spacing(families[a]) for a, _ in fit]
             regular = [p for p in parts if p[2] >= config.min_regular_lines]
             if len(regular) >= 2 and (size := float(np.mean([p[0] for p in regular]))) >= 10:
                 strength = sum(s for _, s in fit) / 3
-                return {"type": "HEX_MAP", "confidence": min(1.0, 0.4 * strength + 0.4 * (1 - float(np.mean([p[1] for p in regular]))) + 0.2), "angles": [float(a) for a, _ in fit], "cell_w": size, "cell_h": size}
-    return None
+                fitted = {"type": "HEX_MAP", "confidence": min(1.0, 0.4 * strength + 0.4 * (1 - float(np.mean([p[1] for p in regular]))) + 0.2), "angles": [float(a) for a, _ in fit], "cell_w": size, "cell_h": size}
+                best = max(best or fitted, fitted, key=lambda f: f["confidence"])
+    return best
 
 
 def gaps_of(density: np.ndarray, least: int, limit: float = 0.02) -> list[tuple[int, int]]:
