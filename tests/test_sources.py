@@ -100,7 +100,7 @@ def test_whole_pipeline(spark, tmp_path):
     src.mkdir()
     (src / "a.md").write_text("# 1. GUARD ROOM\n> Look.\n3 trolls wait.")
     (src / "b.txt").write_text("plain")
-    (src / "c.pdf").write_bytes(make_pdf(["BT /F1 10 Tf 14 TL 72 720 Td (1. OLD ROOM) Tj T* (Three orcs. AL CE; MV 9; AC 6) Tj ET"]))
+    (src / "c.pdf").write_bytes(make_pdf(["BT /F1 10 Tf 14 TL 72 720 Td (1. OLD ROOM) Tj 0 -40 Td (Three orcs. AL CE; MV 9;) Tj T* (AC 6; HD 1;) Tj T* (hp 3) Tj ET"]))
     words = spark.createDataFrame([("old", 1), ("room", 2)], "word string, rank int")
     md = {r.source: r for r in pipelines.convert(spark, str(src), words).collect()}
     assert md["a.md"].markdown.startswith("# 1.") and "ruleset: unknown" in md["b.txt"].markdown
