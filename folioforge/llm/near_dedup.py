@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from . import sketch
 from .lsh import similar
 from .store import Scratch
-from .words import WordHashes, shingles, split_words, word_hashes
+from .words import WordHashes, shingles, small, split_words, word_hashes
 
 #: Four registers a band, 32 bands: a pair at 0.75 is missed once in 200,000.
 ROWS, BANDS = 4, 32
@@ -23,7 +23,7 @@ BROADCAST_IDS = 500_000
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     known = WordHashes()
-    for b in batches:
+    for b in small(batches):
         ids, n, sid, regs, bands = b.column("doc_id"), [], [], [], []
         for text in b.column("text").to_pylist():
             sh = shingles(word_hashes(split_words(text), known))
@@ -42,7 +42,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     known = WordHashes()
-    for b in batches:
+    for b in small(batches):
         sh = [shingles(word_hashes(split_words(t), known)).tobytes() for t in b.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(sh, pa.binary())], names=["node", "sh"])
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from . import tokens
 from .store import Scratch
+from .words import small
 
 #: Tokens of document ends that one shard of the index holds on average.
 SHARD = 1_200_000
@@ -91,7 +92,7 @@ def pack(spark: SparkSession, docs: DataFrame, tokenizer: str, *, ranks: tuple[s
     scratch = scratch or Scratch(spark, "packing")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             ids = [np.append(tokens.encode(t, tokenizer, ranks), np.uint32(STOP_ID)) for t in b.column("text").to_pylist()]
             wide = [4 if x.max() > 65535 else 2 for x in ids]
             raw = [x.astype(f"<u{w}").tobytes() for x, w in zip(ids, wide)]
@@ -102,7 +103,7 @@ def pack(spark: SparkSession, docs: DataFrame, tokenizer: str, *, ranks: tuple[s
     pieces = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             row, start, ids = [], [], []
             for r, (n, w, raw) in enumerate(zip(b.column("n").to_pylist(), b.column("wide").to_pylist(), b.column("raw").to_pylist())):
                 x = np.frombuffer(raw, f"<u{w}").astype("<u4")

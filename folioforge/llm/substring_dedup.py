@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from . import sketch
 from .lsh import similar
 from .store import Scratch
-from .words import mix, ngrams
+from .words import mix, ngrams, small
 
 #: Paragraphs are lines of at least this many words; similar ones share a band of 3 of 48 registers with
 #: probability 0.9998 at a similarity of 0.75.
@@ -34,7 +34,7 @@ class Marked(dict):
     """Hash of each word, odd if the word ends a sentence; emptied when large."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 400_000:
+        if len(self) >= 200_000:
             self.clear()
         self[word] = h = xxhash.xxh3_64_intdigest(word) & ~1 | (word[-1] in b".!?")
         return h
@@ -86,7 +86,7 @@ def set_id(sh: np.ndarray) -> int:
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each document: hashes of its units, and nodes, sizes and registers of its paragraphs."""
     known = Marked()
-    for b in batches:
+    for b in small(batches):
         units, places, lines, nodes, sizes, regs = [], [], [], [], [], []
         for t in b.column("text").to_pylist():
             x = Text(t, known)
@@ -105,14 +105,14 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in small(batches):
         keys = [sketch.bands(np.frombuffer(r, np.uint16), ROWS, BANDS) for r in b.column("regs").to_pylist()]
         yield pa.RecordBatch.from_arrays([pa.array(np.repeat(b.column("node").to_numpy(), BANDS)), pa.array(np.concatenate(keys) if keys else np.empty(0, np.int64))], names=["node", "key"])
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     known = Marked()
-    for b in batches:
+    for b in small(batches):
         nodes, sh = [], []
         for want, t in zip(b.column("wanted").to_pylist(), b.column("text").to_pylist()):
             for s in Text(t, known).paragraphs()[1]:
@@ -154,7 +154,7 @@ WORD = re.compile(r"[^ \t\n\x0b\x0c\r]+")
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Spans in code points of what is removed from each text with marks."""
     known = Marked()
-    for b in batches:
+    for b in small(batches):
         out = []
         for t, place, unit_kept, line, line_kept in zip(*(b.column(c).to_pylist() for c in ("text", "place", "place_kept", "line", "line_kept"))):
             x = Text(t, known)
@@ -173,6 +173,21 @@ SPANS = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64()), ("n_w
 SPANS_SQL = "array<struct<start:bigint,length:bigint,n_words:bigint,kept_doc_id:bigint>>"
 
 
+def cut_text(t: str, marks: dict, known: Marked) -> str:
+    """The text without the passages that its marks make up."""
+    x = Text(t, known)
+    units = {u: k for u, k in zip(marks["place"], marks["place_kept"]) if u < len(x.start)}
+    spans = removals(x, units, {i: k for i, k in zip(marks["line"], marks["line_kept"]) if i < len(x.line_start)})
+    if not spans:
+        return t
+    at = [w.span() for w in WORD.finditer(t)]
+    kept, last = [], 0
+    for a, e, _ in spans:
+        kept.append(t[last : at[a][0]])
+        last = at[e][0] if e < len(at) else len(t)
+    return "".join(kept) + t[last:]
+
+
 def marked(spark: SparkSession, docs: DataFrame, scratch: Scratch) -> DataFrame:
     """``doc_id, place, place_kept, line, line_kept`` of each document with repeated units or paragraphs."""
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null")
@@ -226,29 +241,19 @@ def without_passages(spark: SparkSession, docs: DataFrame, scratch: Scratch | No
     marks = marked(spark, docs, scratch)
     names = docs.columns
     m = marks.select(F.col("doc_id").alias("_id"), F.struct("place", "place_kept", "line", "line_kept").alias("_marks"))
-    rows = docs.join(m, F.col("doc_id").cast("long") == F.col("_id"), "left")
-
-    @F.pandas_udf("string")
-    def cut(text, marks):  # noqa: ANN001, ANN202
-        import pandas as pd
-
-        known, out = Marked(), []
-        for t, place, unit_kept, line, line_kept in zip(text, marks["place"], marks["place_kept"], marks["line"], marks["line_kept"]):
-            if place is None or t is None:
-                out.append(t)
-                continue
-            x = Text(t, known)
-            spans = removals(x, {u: k for u, k in zip(place, unit_kept) if u < len(x.start)}, {i: k for i, k in zip(line, line_kept) if i < len(x.line_start)})
-            if spans:
-                at = [w.span() for w in WORD.finditer(t)]
-                kept, last = [], 0
-                for a, e, _ in spans:
-                    kept.append(t[last : at[a][0]])
-                    last = at[e][0] if e < len(at) else len(t)
-                t = "".join(kept) + t[last:]
-            out.append(t)
-        return pd.Series(out, dtype=object)
-
-    new = F.when(F.col("_id").isNull(), F.col("text")).otherwise(cut(F.col("text").cast("string"), F.col("_marks")))
-    emptied = F.col("_id").isNotNull() & ~F.coalesce(F.col("text").rlike(r"[^ \t\n\x0B\f\r]"), F.lit(False))
-    return rows.withColumn("text", new).where(~emptied).select(*names)
+    rows = docs.withColumn("text", F.col("text").cast("string")).join(m, F.col("doc_id").cast("long") == F.col("_id"), "left")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Marked()
+        for b in small(batches):
+            marks, texts = b.column("_marks").to_pylist(), b.column("text").to_pylist()
+            keep = []
+            for r, (t, m) in enumerate(zip(texts, marks)):
+                if m is not None and t is not None:
+                    texts[r] = t = cut_text(t, m, known)
+                if m is None or t is None or WORD.search(t):
+                    keep.append(r)
+            out = [pa.array(texts, b.column("text").type) if n == "text" else b.column(n) for n in names]
+            yield pa.RecordBatch.from_arrays(out, names=names).take(pa.array(keep, pa.int64()))
+
+    return rows.select(*names, "_marks").mapInArrow(cut, docs.schema)

@@ -6,7 +6,10 @@ Lower-casing touches A-Z only and words are runs of bytes other than space and U
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 import xxhash
 
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
@@ -58,3 +61,10 @@ def shingles(h: np.ndarray, size: int = 5) -> np.ndarray:
     if len(h) < size:
         return mix(ngrams(h, len(h)) + np.uint64(len(h)))
     return np.unique(ngrams(h, size))
+
+
+def small(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``rows``, so that few texts are Python objects at once."""
+    for b in batches:
+        for s in range(0, b.num_rows, rows):
+            yield b.slice(s, rows)
