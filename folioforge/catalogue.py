@@ -516,3 +516,99 @@ def two_column_vote(spark: SparkSession, sf: str) -> DataFrame:
     n = F.col("n_chars")
     p = table(spark, sf, "documents").select("source", F.col("doc_id").alias("page"), F.when(n % 3 > 0, 1).alias("gap"), (n % 100).alias("right"), F.lit(100).alias("width"))
     return G.two_column_documents(p, "source")
+
+
+# ---- more aggregates, joins and repairs -------------------------------------------------------------------
+
+
+@query("""WITH v AS (SELECT o_custkey, o_totalprice::DOUBLE AS v, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS i FROM orders),
+c AS (SELECT a.o_custkey, a.i, a.v, count(*) AS n FROM v a JOIN v b ON a.o_custkey = b.o_custkey AND b.v / a.v BETWEEN 0.8 AND 1.2 GROUP BY a.o_custkey, a.i, a.v),
+r AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY n DESC, i) AS k FROM c) SELECT o_custkey, v AS mode FROM r WHERE k = 1""")
+def modal_gap(spark: SparkSession, sf: str) -> DataFrame:
+    v = F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", F.col("o_totalprice").cast("double").alias("v")))), lambda x: x["v"])
+    return table(spark, sf, "orders").groupBy("o_custkey").agg(v.alias("v")).select("o_custkey", A.modal_gap(F.col("v")).alias("mode"))
+
+
+@query("""SELECT l_orderkey, round(stddev_pop(l_quantity::DOUBLE) / avg(l_quantity::DOUBLE), 6) AS cv FROM lineitem GROUP BY l_orderkey""")
+def row_regularity(spark: SparkSession, sf: str) -> DataFrame:
+    v = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.col("l_quantity").cast("double")).alias("v"))
+    return v.select("l_orderkey", F.round(A.variation(F.col("v")), 6).alias("cv"))
+
+
+@query("""SELECT o_custkey % 10 AS page, greatest(0, least(63, floor(o_totalprice / 1000)::INT - 20)) AS bin, count(*) AS letters FROM orders GROUP BY ALL""")
+def x_histogram(spark: SparkSession, sf: str) -> DataFrame:
+    o = table(spark, sf, "orders").select((F.col("o_custkey") % 10).alias("page"), (F.floor(F.col("o_totalprice") / 1000).cast("int") - 20).alias("x"))
+    return o.groupBy("page", F.greatest(F.lit(0), F.least(F.lit(63), "x")).alias("bin")).agg(F.count(F.lit(1)).alias("letters"))
+
+
+@query("""SELECT l_orderkey % 10 AS page, l_linenumber AS band, count(*) FILTER (l_quantity < 17) AS "left", count(*) FILTER (l_quantity >= 17 AND l_quantity < 34) AS middle, count(*) FILTER (l_quantity >= 34) AS "right" FROM lineitem GROUP BY ALL""")
+def band_histogram(spark: SparkSession, sf: str) -> DataFrame:
+    q = F.col("l_quantity")
+    zones = {"left": q < 17, "middle": (q >= 17) & (q < 34), "right": q >= 34}
+    return table(spark, sf, "lineitem").groupBy((F.col("l_orderkey") % 10).alias("page"), F.col("l_linenumber").alias("band")).agg(*(F.count_if(c).alias(n) for n, c in zones.items()))
+
+
+@query(f"{VOTES}, l AS (SELECT img_id, theta, count(*) AS n FROM votes WHERE votes >= 5 GROUP BY img_id, theta) SELECT img_id, theta, round(n / max(n) OVER (PARTITION BY img_id), 6) AS strength FROM l")
+def angle_histogram(spark: SparkSession, sf: str) -> DataFrame:
+    h = M.angle_histogram(M.hough_votes(edge_points(spark, sf)).where("votes >= 5"))
+    return h.withColumn("strength", F.round("strength", 6))
+
+
+@query(f"""{VOTES}, l AS (SELECT img_id, theta, count(*) AS n FROM votes WHERE votes >= 5 GROUP BY img_id, theta), p AS (SELECT img_id, theta, n, abs(img_id % 180 - theta) AS d FROM l),
+q AS (SELECT *, row_number() OVER (PARTITION BY img_id ORDER BY least(d, 180 - d), n DESC, theta) AS k FROM p WHERE least(d, 180 - d) <= 8) SELECT img_id, (img_id % 180)::INT AS target, theta FROM q WHERE k = 1""")
+def closest_angle(spark: SparkSession, sf: str) -> DataFrame:
+    peaks = M.angle_histogram(M.hough_votes(edge_points(spark, sf)).where("votes >= 5"))
+    targets = table(spark, sf, "embeddings").select(F.col("vec_id").alias("img_id"), (F.col("vec_id") % 180).cast("int").alias("target"))
+    return G.closest_angle(targets, peaks, "img_id", 8)
+
+
+LINES_SQL = "h AS (SELECT l_orderkey AS page, l_linenumber AS id, l_partkey % 40 AS x0, l_partkey % 40 + 20 AS x1, l_suppkey % 30 AS y FROM lineitem WHERE l_linenumber % 2 = 1), v AS (SELECT l_orderkey AS page, l_partkey % 60 AS x, 0 AS y0, l_quantity::INT AS y1 FROM lineitem WHERE l_linenumber % 2 = 0)"
+
+
+@query(f"WITH {LINES_SQL} SELECT h.page, h.id FROM h JOIN v ON h.page = v.page AND y BETWEEN y0 - 12 AND y1 + 12 GROUP BY h.page, h.id HAVING bool_or(abs(x - x0) <= 12) AND bool_or(abs(x - x1) <= 12)")
+def framed_lines(spark: SparkSession, sf: str) -> DataFrame:
+    n, li = F.col, table(spark, sf, "lineitem")
+    h = li.where("l_linenumber % 2 = 1").select(n("l_orderkey").alias("page"), n("l_linenumber").alias("id"), (n("l_partkey") % 40).alias("x0"), (n("l_partkey") % 40 + 20).alias("x1"), (n("l_suppkey") % 30).alias("y"))
+    v = li.where("l_linenumber % 2 = 0").select(n("l_orderkey").alias("page"), (n("l_partkey") % 60).alias("x"), F.lit(0).alias("y0"), n("l_quantity").cast("int").alias("y1"))
+    return G.framed(h, v, "page")
+
+
+@query(f"""WITH w AS (SELECT item_id, unnest(string_split_regex(text, '[^a-zA-Z]+')) AS word, generate_subscripts(string_split_regex(text, '[^a-zA-Z]+'), 1) AS rank FROM benchmark)
+SELECT lower(word) AS word, min(rank)::INT AS rank FROM w WHERE word <> '' GROUP BY lower(word)""")
+def dictionary(spark: SparkSession, sf: str) -> DataFrame:
+    w = table(spark, sf, "benchmark").select(F.posexplode(F.split("text", "[^a-zA-Z]+")).alias("i", "word")).select("word", (F.col("i") + 1).alias("rank"))
+    return L.dictionary(w)
+
+
+@query(r"""SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN c_name WHEN c_custkey % 3 = 1 THEN c_name || '.v2' ELSE '.' || c_mktsegment END AS stem FROM customer""")
+def file_stems(spark: SparkSession, sf: str) -> DataFrame:
+    k = F.col("c_custkey") % 3
+    name = F.when(k == 0, F.concat("c_name", F.lit(".pdf"))).when(k == 1, F.concat("c_name", F.lit(".v2.md"))).otherwise(F.concat(F.lit("."), "c_mktsegment"))
+    return table(spark, sf, "customer").select("c_custkey", X.strip_extension(name).alias("stem"))
+
+
+def _words(spark: SparkSession, sf: str) -> DataFrame:
+    return dictionary(spark, sf)
+
+
+@query()
+def word_segment(spark: SparkSession, sf: str) -> DataFrame:
+    from folioforge.operators.clean import cleaner_column
+
+    segment = cleaner_column(spark, _words(spark, sf), method="segment")
+    return table(spark, sf, "benchmark").select("item_id", segment(F.regexp_replace("text", "[^a-zA-Z]", "")).alias("text"))
+
+
+@query()
+def clean_text(spark: SparkSession, sf: str) -> DataFrame:
+    from folioforge.operators.clean import cleaner_column
+
+    return table(spark, sf, "documents").select("doc_id", cleaner_column(spark, _words(spark, sf))(F.col("text")).alias("text"))
+
+
+@query()
+def fence_text(spark: SparkSession, sf: str) -> DataFrame:
+    from folioforge.operators.fencing import with_fences
+
+    orc = F.concat(F.lit("\n\n3 orcs. AL CE; MV 9; hp "), F.col("doc_id").cast("string"), F.lit("; AC 6\n\n"))
+    return table(spark, sf, "documents").select("doc_id", with_fences(F.replace("text", F.lit("\n"), orc)).alias("text"))

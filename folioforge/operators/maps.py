@@ -282,3 +282,39 @@ def dungeon(image: np.ndarray, cell_w: float, cell_h: float, config: Config = Co
     """The grid of cell codes of a map section."""
     code, blank = grid_cells(image, cell_w, cell_h, config)
     return mark_boundaries(image, fill_exterior(code, blank), cell_w, cell_h, config)
+
+
+def section_bounds(section: tuple[int, int, int, int], cell_w: float, cell_h: float, width: int, height: int) -> tuple[int, int, int, int]:
+    """A section's place with half a cell around it, inside the page."""
+    x, y, w, h = section
+    x0, y0 = max(0, int(x - cell_w / 2)), max(0, int(y - cell_h / 2))
+    return x0, y0, min(width, int(x + w + cell_w / 2)) - x0, min(height, int(y + h + cell_h / 2)) - y0
+
+
+MAP = "struct<type:string,confidence:double,angles:array<double>,cell_w:double,cell_h:double,sections:array<struct<x:int,y:int,w:int,h:int,rows:int,cols:int,grid:array<int>>>>"
+
+
+def page_map(image: np.ndarray, config: Config = Config()) -> dict:
+    """A map's class with the cell codes of each of its sections, row by row."""
+    out = classify_map(image, config)
+    parts = []
+    for s in out["sections"]:
+        x, y, w, h = section_bounds(s, out["cell_w"], out["cell_h"], image.shape[1], image.shape[0])
+        known = min(out["cell_w"], out["cell_h"]) >= 4
+        code = dungeon(image[y : y + h, x : x + w], out["cell_w"], out["cell_h"], config) if known else np.zeros((0, 0), int)
+        parts.append({"x": x, "y": y, "w": w, "h": h, "rows": code.shape[0], "cols": code.shape[1], "grid": code.ravel().tolist()})
+    return out | {"sections": parts}
+
+
+def page_maps(pages: DataFrame, image: str = "image", config: Config = Config()) -> DataFrame:
+    """``pages`` with a ``map`` for each page image; cells are one row's array until they are exploded."""
+    from .layout import image_array
+
+    @F.pandas_udf(MAP)
+    def run(images):  # noqa: ANN001, ANN202
+        import pandas as pd
+
+        names = ["type", "confidence", "angles", "cell_w", "cell_h", "sections"]
+        return pd.DataFrame([page_map(image_array(h, w, n, d), config) for h, w, n, d in zip(images["height"], images["width"], images["nChannels"], images["data"])], columns=names)
+
+    return pages.withColumn("map", run(F.col(image)))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioforge.functions.text import LINE_CHAR, group, trim_controls, yaml_escape
+from folioforge.functions.text import LINE_CHAR, trim_controls, yaml_escape
 
 HEADING_LINE = rf"#{{1,3}}[^\S\n]+{LINE_CHAR}+(?:\n|$)"
 FENCE = r"(?s)```stat\n(.*?)\n```"
@@ -70,5 +70,3 @@ def stat_fences(text: Column) -> Column:
 def without_fences(text: Column) -> Column:
     return trim_controls(F.regexp_replace(F.regexp_replace(text, FENCE, ""), r"\n{3,}", "\n\n"))
 
-
-__all__ = ["FENCE", "front_matter", "group", "sections", "split_sections", "stat_fences", "with_front_matter", "without_fences"]

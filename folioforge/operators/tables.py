@@ -10,15 +10,17 @@ from pyspark.sql import functions as F
 
 from folioforge.config import DEFAULT, Config
 
+from .glyphs import crop_text
 from .layout import Gap, analyse, between, find_gaps, image_array, ink_mask, islands
+from .rules import table_type
 
 # Fixed values, in pixels at 150 dots an inch or as shares.
 RULE_SPAN, RULE_HEIGHT = 0.50, 4
 POST_LENGTH, POST_WIDTH, POST_REACH = 40, 4, 15
-BORDER_SLOP, PROSE_RATIO, BOX_COLUMNS = 12, 0.25, 3
+BORDER_SLOP, BOX_COLUMNS = 12, 3
 ROWS, REGULAR, GAP_TO_ROW, END_GAP = 3, 0.60, 0.20, 20
 TITLE_HEIGHT, TITLE_LEAD, TITLE_RANGE = 40, 8, 100
-GUTTER, SUB_COLUMN, DIE_ENTRIES, NUMBER_STRIP = 8, 0.10, 6, 0.15
+GUTTER, SUB_COLUMN, DIE_ENTRIES = 8, 0.10, 6
 
 SCHEMA = "array<struct<x_left:int,x_right:int,y_top:int,y_bottom:int,rule_top:int,rule_bottom:int,title_top:int,title_bottom:int,style:string>>"
 
@@ -169,3 +171,17 @@ def page_tables(pages: DataFrame, image: str = "image", config: Config = DEFAULT
         return pd.Series([[r.row() for r in detect(image_array(h, w, n, d), c=config)] for h, w, n, d in zip(images["height"], images["width"], images["nChannels"], images["data"])])
 
     return pages.withColumn("tables", run(F.col(image)))
+
+
+def with_titles(found: DataFrame, glyphs: DataFrame, keys: list[str], dpi: float = 150.0) -> DataFrame:
+    """Tables (``keys``, the fields of ``tables``) with the ``title`` that stands in their title's place, and their ``type``.
+
+    ``glyphs`` are placed in points from the upper left of the page, tables in pixels of its image.
+    """
+    pt = 72.0 / dpi
+    numbered = found.withColumn("seq_box", F.xxhash64("x_left", "y_top", "y_bottom"))
+    places = numbered.where("title_top is not null").select(*keys, "seq_box", *((F.col(a) * pt).alias(b) for a, b in (("x_left", "x0"), ("x_right", "x1"), ("title_top", "y0"), ("title_bottom", "y1"))))
+    titles = crop_text(glyphs, places, keys).select(*(F.col(k).alias(f"_{k}") for k in keys), F.col("seq_box").alias("_box"), F.regexp_replace("text", r"\*+", "").alias("title"))
+    on = [F.col(k) == F.col(f"_{k}") for k in keys] + [F.col("seq_box") == F.col("_box")]
+    out = numbered.join(titles, on, "left").drop("seq_box", "_box", *(f"_{k}" for k in keys))
+    return out.withColumn("type", table_type(F.col("title")))

@@ -11,6 +11,7 @@ from folioforge.operators import components as C
 from folioforge.operators import glyphs as G
 from folioforge.operators.clean import cleaner_column
 from folioforge.operators.fencing import with_fences
+from folioforge.operators.layout import sub_pages
 from folioforge.operators.lines import strip_running
 from folioforge.operators.markdown import promote_headings
 from folioforge.operators.rules import ruleset
@@ -45,6 +46,13 @@ def pages_to_markdown(pages: DataFrame, words: DataFrame | None = None, *, doc:
     return repaired.select(doc, with_front_matter(F.col(doc).cast("string"), ruleset(F.col("front")), promote_headings(F.col("text"))).alias("markdown"))
 
 
+def pages_by_layout(letters: DataFrame, layouts: DataFrame, *, doc: str = "doc", page: str = "page_no", dpi: float = 150.0) -> DataFrame:
+    """``doc, page_no, seq, text``: the text of each sub-page in reading order, from letters in points and layouts in pixels; pictures have none."""
+    cells = sub_pages(layouts.select(doc, page, "layout")).where(F.col("zone_type") != "IMAGE")
+    boxes = cells.select(doc, page, F.col("seq").alias("seq_box"), *((F.col(c) * (72.0 / dpi)).alias(c) for c in ("x0", "y0", "x1", "y1")))
+    return G.crop_text(letters, boxes, [doc, page]).withColumnRenamed("seq_box", "seq")
+
+
 def convert(spark: SparkSession, path: str, words: DataFrame | None = None, *, regex: str | None = None) -> DataFrame:
     """``source, markdown, error`` of the files at a path; Markdown passes, text and Word files get front matter, PDF pages are read and repaired."""
     found = files.files(spark, path, regex=regex)

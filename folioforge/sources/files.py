@@ -13,8 +13,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioforge.functions.text import lines, trim_controls
-
 FORMATS = ("pdf", "docx", "txt", "md")
 WORD = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
 
@@ -98,10 +96,6 @@ def word_lists(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.text(list(paths), wholetext=True).select(F.col("value").alias("text"))
 
 
-def first_lines(text: Column, n: int) -> Column:
-    return F.slice(F.transform(lines(text), trim_controls), 1, n)
-
-
 def png(image: np.ndarray) -> bytes:
     """An RGB array as a PNG file."""
     import struct

@@ -139,6 +139,13 @@ def test_map_sections():
     assert len(maps.map_sections(img, 30)) == 3
 
 
+def test_page_maps(spark, tmp_path):
+    (tmp_path / "g.png").write_bytes(png(grid()))
+    m = maps.page_maps(images(spark, str(tmp_path))).select("map").head().map
+    assert m.type == "GRID_MAP" and m.sections and len(m.sections[0].grid) == m.sections[0].rows * m.sections[0].cols
+    assert maps.section_bounds((10, 10, 50, 50), 40, 40, 60, 100) == (0, 0, 60, 80)
+
+
 def test_canny_marks_an_edge():
     img = blank(60, 60)
     img[:, 30:] = 0

@@ -84,6 +84,28 @@ def test_columns_and_sidebar_text():
     assert "side 3" in G.sidebar_text(letters(rows), 612.0) and "main" not in G.sidebar_text(letters(rows), 612.0)
 
 
+def test_text_by_layout_and_titles(spark):
+    from folioforge.operators import tables
+
+    rows = [(1, 0, s, t, x, y, h, b, i, 612.0) for s, (x, y, t, h, b, i) in enumerate(letters([(50.0, 60.0, "Wandering Monsters"), (80.0, 60.0, "left"), (80.0, 330.0, "right")]))]
+    g = spark.createDataFrame(rows, "doc int, page_no int, seq int, text string, x double, y double, height double, bold boolean, italic boolean, page_width double")
+    zone = lambda x0, x1: {"x_left": x0, "x_right": x1, "sub_zones": [{"y_top": 140, "y_bottom": 300, "type": "TEXT", "horiz_gaps": []}]}
+    lay = {"type": "TWO_COLUMN", "margins": {"top": 0, "bottom": 300, "left": 0, "right": 1275}, "zones": [{"y_top": 140, "y_bottom": 300, "type": "TEXT", "columns": [zone(0, 600), zone(650, 1275)]}], "width": 1275, "height": 1650}
+    from folioforge.operators.layout import LAYOUT
+
+    pages = pipelines.pages_by_layout(g, spark.createDataFrame([(1, 0, lay)], f"doc int, page_no int, layout {LAYOUT}"))
+    assert [(r.seq, r.text) for r in pages.orderBy("seq").collect()] == [(0, "left"), (1, "right")]
+    found = spark.createDataFrame([(1, 0, 0, 1275, 130, 300, None, None, 90, 120, "DIE_ROLL"), (1, 0, 0, 1275, 400, 500, None, None, None, None, "RULE_BASED")], "doc int, page_no int, x_left int, x_right int, y_top int, y_bottom int, rule_top int, rule_bottom int, title_top int, title_bottom int, style string")
+    got = sorted((r.y_top, r.title, r.type) for r in tables.with_titles(found, g, ["doc", "page_no"]).collect())
+    assert got == [(130, "Wandering Monsters", "WANDERING_MONSTER_TABLE"), (400, None, "UNKNOWN_TABLE")]
+
+
+def test_fonts(spark):
+    df = spark.createDataFrame([("Times-BoldItalic", None, None, None), ("X", True, 0.0, 0.0), ("X", False, -12.0, 0.0), ("X", False, 0.0, 0.2), ("Arial", None, None, None)], "f string, flag boolean, a double, s double")
+    got = df.select(G.is_bold(F.col("f")).alias("b"), G.is_italic(F.col("f"), F.col("flag"), F.col("a"), F.col("s")).alias("i"), G.boxed_as_quotes(F.lit("a\nb")).alias("q")).collect()
+    assert [(r.b, r.i) for r in got] == [(True, True), (False, True), (False, True), (False, True), (False, False)] and got[0].q == "> a\n> b"
+
+
 def test_boxes(spark):
     e = spark.createDataFrame([(1, 1, 10.0, 10.0, 100.0), (1, 2, 12.0, 90.0, 99.0), (1, 3, 11.0, 300.0, 100.0), (2, 4, 10.0, 60.0, 100.0)], "page int, id int, x double, y double, w double")
     assert sorted((r.y, r.h) for r in geometry.boxes_from_edges(e, "page").collect()) == [(10.0, 80.0), (90.0, 210.0)]
