@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import url_filter_sql
+from . import dedup_sql, url_filter_sql
 from .decontaminate import contaminated
 from .embedding_dedup import near_vectors
 from .html_extract import extract
@@ -91,4 +91,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_url_filter": url_filter_sql.oracle(URL_RULES)}
+    return {"op4_embedding_dedup": dedup_sql.NEAR_VECTORS, "op7_near_dedup": dedup_sql.NEAR_DOCUMENTS, "op9_url_filter": url_filter_sql.oracle(URL_RULES)}
