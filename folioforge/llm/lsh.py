@@ -24,7 +24,7 @@ SLACK = 0.16
 #: Loose clusters are made of links with at least this estimate.
 LOOSE = 0.40
 #: Shingles (each member counts 64 more) that a block holds on average.
-BLOCK = 400_000
+BLOCK = 60_000
 
 
 def pair_filter(estimate: Callable, least: float) -> Callable:
