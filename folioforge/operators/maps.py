@@ -112,7 +112,7 @@ def accumulate(edges: np.ndarray) -> tuple[np.ndarray, int]:
     return out, diagonal
 
 
-def spacing(rhos: list[int], extent_compat: bool = False) -> tuple[float, float, int]:
+def spacing(rhos: list[int]) -> tuple[float, float, int]:
     """Modal distance of parallel lines, the deviation of those near it, and how many lines it joins."""
     r = np.unique(rhos)
     gaps = np.diff(r).astype(float)
