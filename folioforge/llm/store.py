@@ -6,7 +6,7 @@ import gc
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -51,3 +51,15 @@ class Scratch:
                 p.getFileSystem(conf).delete(p, True)
         gc.collect()
         jvm.System.gc()  # so that Spark's cleaner drops the shuffle files that led to them
+
+
+def bounded_sample(df: DataFrame, key: Column, n: int) -> DataFrame:
+    """At most ``n`` rows, those with the smallest values of a 64-bit hash; all rows where there are no more.
+
+    A bound on the hash leaves about twice as many rows before they are sorted, so that what meets in one
+    task is bounded however many tasks the rows come from.
+    """
+    total = df.count()
+    if total > 2 * n:
+        df = df.where(key < int(2 * n / total * 2.0**64) - 2**63)
+    return df.orderBy(key).limit(n)
