@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .store import Scratch
+from .store import Scratch, bounded_sample
 
 #: 2^BITS coordinates; the last one is the bias.
 BITS = 20
@@ -20,8 +19,6 @@ BITS = 20
 ALPHA, BETA, L1, L2, PASSES = 1.0, 1.0, 6.0, 0.1, 3
 #: The bound on labelled rows that the model is fitted to (those with the smallest hash of their id).
 MAX_LABELLED = 20_000
-#: Labelled ids are broadcast only up to this many.
-BROADCAST_IDS = 2_000_000
 EDGES = bytes(range(33, 48)) + b":;<=>?@[\\]^_`{|}~"
 
 
@@ -85,31 +82,27 @@ def fit(rows: Iterator[tuple[np.ndarray, int]], passes: int = PASSES, seed: int
     return at.astype(np.int32), w[at].astype(np.float32)
 
 
-def fold(doc_id: int | None) -> int | None:
-    return None if doc_id is None else zlib.crc32(str(doc_id).encode())
-
-
 def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, *, folds: int = 5, bound: int = MAX_LABELLED, scratch: Scratch | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Weights from labelled rows outside the held-out fold (crc32 of the id as text, modulo ``folds``, is 0)."""
     scratch = scratch or Scratch(spark, "toxicity")
     known = labels.where("doc_id is not null and toxic in (0, 1)").select(F.col("doc_id").cast("long").alias("id"), F.col("toxic").cast("int").alias("toxic"))
     known = known.where(F.crc32(F.col("id").cast("string")) % folds != 0).groupBy("id").agg(F.max("toxic").alias("toxic"))
-    known = scratch.save(known.orderBy(F.xxhash64("id"), "id").limit(bound))  # the documented bound
+    known = scratch.save(bounded_sample(known, F.xxhash64("id"), bound))  # the documented bound
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).join(F.broadcast(known), "id")
     rows = scratch.save(rows)
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stems = Stems()
 
-        def read() -> Iterator[tuple[np.ndarray, int]]:
-            for b in batches:
-                for text, y in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist()):
-                    yield np.unique(features(text, stems)), y
-
-        at, w = fit(read())
+        found = []
+        for b in batches:
+            for i, text, y in zip(b.column("id").to_pylist(), b.column("text").to_pylist(), b.column("toxic").to_pylist()):
+                found.append((i, np.unique(features(text, stems)), y))
+        found.sort(key=lambda r: r[0])  # so that weights do not depend on how the rows were dealt out
+        at, w = fit((x, y) for _, x, y in found)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(w)], names=["at", "w"])
 
-    got = rows.select("text", "toxic").coalesce(1).mapInArrow(learn, "at int, w float").toArrow()
+    got = rows.select("id", "text", "toxic").coalesce(1).mapInArrow(learn, "at int, w float").toArrow()
     return got.column("at").to_numpy(), got.column("w").to_numpy()
 
 
