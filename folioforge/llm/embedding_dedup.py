@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .graph import components
-from .store import Scratch
+from .store import Scratch, bounded_sample
 
 #: Distinct vectors that a tile holds on average.
 TILE = 6000
@@ -127,7 +127,7 @@ def near_vectors(spark: SparkSession, vectors: DataFrame, *, least: float = 0.95
     # one node may own several distinct vectors where rows repeat a vec_id
     total = sets.count()
     cells = int(np.clip(total // TILE, 1, MAX_CELLS))
-    sample = sets.orderBy(F.xxhash64("digest")).limit(SAMPLE).select("dim", "blob").collect() if cells > 1 else []
+    sample = bounded_sample(sets, F.xxhash64("digest"), SAMPLE).select("dim", "blob").collect() if cells > 1 else []
     centres: dict[int, np.ndarray] = {}
     for d in {r.dim for r in sample}:
         x = unit(np.stack([np.frombuffer(r.blob, np.float64) for r in sample if r.dim == d]))
