@@ -18,7 +18,7 @@ MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779
 class WordHashes(dict):
     """Hash of each word, remembered; emptied when it is large, which changes no result."""
 
-    LIMIT = 400_000
+    LIMIT = 200_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:
