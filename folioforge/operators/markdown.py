@@ -51,14 +51,17 @@ def collapse_blank_lines(text: Column) -> Column:
     """A single blank line inside a sentence goes; those at the ends, in runs, by structure or after a sentence stay."""
     rows = lines(text)
     t = F.transform(rows, trim_controls)
-    last = F.size(rows) - 1
+    none = F.array(F.lit(None).cast("string"))
+    # neighbours stand beside each line, so that no element looks the whole array up again
+    z = F.arrays_zip(rows.alias("x"), t.alias("t"), F.concat(none, t).alias("p"), F.concat(F.slice(t, F.lit(2), F.size(t)), none).alias("n"))
 
-    def keep(x: Column, i: Column) -> Column:
-        prev, nxt = F.get(t, i - 1), F.get(t, i + 1)
-        stays = (i == 0) | (i == last) | (prev == "") | (nxt == "") | is_structural(prev) | is_structural(nxt) | ends_sentence(prev)
-        return F.when((F.get(t, i) != "") | F.coalesce(stays, F.lit(False)), F.concat(x, F.lit("\n")))
+    def keep(r: Column) -> Column:
+        p, n = r["p"], r["n"]
+        stays = p.isNull() | n.isNull() | (p == "") | (n == "") | is_structural(p) | is_structural(n) | ends_sentence(p)
+        return F.when((r["t"] != "") | stays, F.concat(r["x"], F.lit("\n")))
 
-    return F.array_join(F.filter(F.transform(rows, keep), lambda x: x.isNotNull()), "")
+    kept = F.transform(F.filter(z, lambda r: r["x"].isNotNull()), keep)
+    return F.array_join(F.filter(kept, lambda x: x.isNotNull()), "")
 
 
 def paragraphs(text: Column) -> Column:
