@@ -1,11 +1,10 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment."""
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,8 +13,6 @@ from .words import WordHashes, ngrams, split_words, word_hashes
 
 #: Words of a seed; items with fewer words than LEAST cannot be told from chance and match nothing.
 SEED, LEAST = 3, 5
-#: An n-gram is a seed if at most this many documents have it, or half of its item's n-grams are commoner.
-RARE = 50
 #: Seeds of one item that must lie in one window.
 HITS = 2
 #: Gains and costs of the alignment, and the least share of an item's full score.
@@ -76,12 +73,15 @@ class Items:
                 self.ids.append(i)
                 self.words.append(h)
         cat = lambda x, kind: np.concatenate(x).astype(kind) if x else np.empty(0, kind)
+        self.size = np.array([len(w) for w in self.words], np.int64)
         gram, item, place = cat(gram, np.uint64), cat(item, np.int32), cat(place, np.int32)
         order = np.argsort(gram, kind="stable")
         self.gram, self.item, self.place = gram[order], item[order], place[order]
         self.keys = np.unique(self.gram)
         self.bits = np.zeros(1 << 22, bool)
         self.bits[(self.keys >> np.uint64(42)).astype(np.int64)] = True
+        self.lo = np.searchsorted(self.gram, self.keys)
+        self.hi = np.searchsorted(self.gram, self.keys, side="right")
 
     def among(self, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Positions in ``g`` of the items' n-grams, and which they are."""
@@ -92,21 +92,6 @@ class Items:
         ok = self.keys[k] == g[at]
         return at[ok], k[ok]
 
-    def keep_rare(self, df: np.ndarray) -> None:
-        """Leave the seeds: n-grams in few documents, or in no more than the item's median."""
-        f = df[np.searchsorted(self.keys, self.gram)]
-        order = np.lexsort((f, self.item))
-        first = np.searchsorted(self.item[order], np.arange(len(self.ids)))
-        count = np.bincount(self.item, minlength=len(self.ids))
-        middle = f[order][first + (count - 1) // 2] if len(self.ids) else f[:0]
-        seed = (f <= RARE) | (f <= middle[self.item])
-        self.gram, self.item, self.place = self.gram[seed], self.item[seed], self.place[seed]
-        self.keys = np.unique(self.gram)
-        self.bits[:] = False
-        self.bits[(self.keys >> np.uint64(42)).astype(np.int64)] = True
-        self.lo = np.searchsorted(self.gram, self.keys)
-        self.hi = np.searchsorted(self.gram, self.keys, side="right")
-
     def windows(self, h: np.ndarray) -> list[tuple[int, int, int]]:
         """``item, from, to`` of the parts of a text that have enough seeds of an item."""
         at, k = self.among(ngrams(h, SEED))
@@ -118,29 +103,37 @@ class Items:
         item = self.item[entry]
         start = pos - self.place[entry]  # where the item would begin
         order = np.lexsort((start, item))
-        out = []
         item, start = item[order], start[order]
-        i = 0
-        while i < len(item):
-            m = len(self.words[item[i]])
-            j = i
-            while j < len(item) and item[j] == item[i] and start[j] - start[i] <= m:
-                j += 1
-            if j - i >= HITS:
-                out.append((int(item[i]), max(0, int(start[i]) - m // 4), min(len(h), int(start[j - 1]) + m + m // 4)))
-            i = j if j - i >= HITS else i + 1
+        size = self.size[item]
+        near = (item[HITS - 1 :] == item[: 1 - HITS]) & (start[HITS - 1 :] - start[: 1 - HITS] <= size[: 1 - HITS])
+        out, done = [], 0
+        for i in np.flatnonzero(near).tolist():
+            if i < done:
+                continue
+            m, last = int(size[i]), int(np.searchsorted(item, item[i], side="right"))
+            done = i + int(np.searchsorted(start[i:last], start[i] + m, side="right"))
+            # the seeds of a place that begins in this group can go on for another m words
+            reach = i + int(np.searchsorted(start[i:last], start[done - 1] + m, side="right"))
+            a, b = max(0, int(start[i]) - m // 4), min(len(h), int(start[reach - 1]) + m + m // 4)
+            if self.can_match(int(item[i]), h[a:b]):
+                out.append((int(item[i]), a, b))
         return out
 
+    def can_match(self, i: int, part: np.ndarray) -> bool:
+        """False only if too few of the item's words are in a part of a text for any alignment to be good enough."""
+        m = len(self.words[i])
+        return len(part) >= SHARE * m and np.isin(self.words[i], part).sum() >= SHARE * m
 
-def align(items: Items, jobs: list[tuple[int, int, int, np.ndarray]]) -> Iterator[tuple[int, int, float, int, int]]:
-    """``text, item, share, start, length`` of the windows (text, item, offset, words) that align well enough."""
-    jobs = sorted(jobs, key=lambda j: (len(items.words[j[1]]), len(j[3])))
+
+def best_alignments(items: Items, jobs: list[tuple[int, int, int, np.ndarray]]) -> Iterator[tuple[int, float, int, int]]:
+    """``job, share, start, length`` of the windows (text, item, offset, words) that align well enough."""
+    ranked = sorted(range(len(jobs)), key=lambda j: (len(items.words[jobs[j][1]]), len(jobs[j][3])))
     at = 0
-    while at < len(jobs):
-        end = at
-        while end < len(jobs) and (end == at or (end - at + 1) * len(jobs[end][3]) <= 400_000 and len(jobs[end][3]) <= 2 * len(jobs[at][3]) + 16):
+    while at < len(ranked):
+        end, first_size = at, len(jobs[ranked[at]][3])
+        while end < len(ranked) and (end == at or (end - at + 1) * (size := len(jobs[ranked[end]][3])) <= 400_000 and size <= 2 * first_size + 16):
             end += 1
-        part = jobs[at:end]
+        part = [jobs[j] for j in ranked[at:end]]
         w, m = max(len(j[3]) for j in part), max(len(items.words[j[1]]) for j in part)
         a, b = np.zeros((len(part), w), np.uint64), np.ones((len(part), m), np.uint64)
         for r, (_, i, _, x) in enumerate(part):
@@ -149,38 +142,43 @@ def align(items: Items, jobs: list[tuple[int, int, int, np.ndarray]]) -> Iterato
         n = np.array([len(items.words[j[1]]) for j in part])
         best, first, last = smith_waterman(a, b, n)
         for r in np.flatnonzero(best >= SHARE * MATCH * n):
-            text, i, offset, _ = part[r]
-            yield text, i, float(best[r] / (MATCH * n[r])), offset + int(first[r]), int(last[r] - first[r])
+            yield ranked[at + r], float(best[r] / (MATCH * n[r])), int(first[r]), int(last[r] - first[r])
         at = end
 
 
-def finders(spark: SparkSession, docs: DataFrame, bench: DataFrame, scratch: Scratch | None = None) -> list:
+def align(items: Items, jobs: list[tuple[int, int, int, np.ndarray]]) -> Iterator[tuple[int, int, float, int, int]]:
+    """``text, item, share, start, length`` of the places in windows (text, item, offset, words) that align well enough.
+
+    What is left of a window before and after a place is searched again; of places that overlap the best stays.
+    """
+    places: dict[tuple[int, int], list[tuple[float, int, int]]] = {}
+    while jobs:
+        rest = []
+        for j, share, start, length in best_alignments(items, jobs):
+            text, i, offset, x = jobs[j]
+            places.setdefault((text, i), []).append((-share, offset + start, length))
+            for at, left in ((offset, x[:start]), (offset + start + length, x[start + length :])):
+                if items.can_match(i, left):
+                    rest.append((text, i, at, left))
+        jobs = rest
+    for (text, i), got in places.items():
+        kept: list[tuple[int, int]] = []
+        for share, start, length in sorted(got):
+            if all(start >= b or start + length <= a for a, b in kept):
+                kept.append((start, start + length))
+                yield text, i, -share, start, length
+
+
+def finders(spark: SparkSession, bench: DataFrame, scratch: Scratch | None = None) -> list:
     """A function Column -> Column for each block of items: the items found in a text."""
     scratch = scratch or Scratch(spark, "decontaminate")
     bench = bench.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id is not null and text is not null")
     blocks = max(1, -(-bench.count() // ITEMS))
-    texts = docs.select(F.col("text").cast("string").alias("text"))
     out = []
     for block in range(blocks):
         part = bench.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block) if blocks > 1 else bench
         rows = part.collect()  # ITEMS rows on average
         items = Items([r.item_id for r in rows], [r.text for r in rows])
-        sent = spark.sparkContext.broadcast(items)
-
-        def count(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            items, known = sent.value, WordHashes()
-            df = np.zeros(len(items.keys), np.int64)
-            for b in batches:
-                for t in b.column("text").to_pylist():
-                    _, k = items.among(ngrams(word_hashes(split_words(t), known), SEED))
-                    df[np.unique(k)] += 1
-            at = np.flatnonzero(df)
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(df[at])], names=["k", "n"])
-
-        seen = texts.mapInArrow(count, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).toArrow()  # a row for each n-gram of the block at most
-        df = np.zeros(len(items.keys), np.int64)
-        df[seen.column("k").to_numpy()] = seen.column("n").to_numpy()
-        items.keep_rare(df)
         chosen = spark.sparkContext.broadcast(items)
 
         @F.pandas_udf(FOUND)
@@ -214,10 +212,10 @@ def contaminated(spark: SparkSession, docs: DataFrame, bench: DataFrame) -> Data
     each place is a row; repeated rows of documents give repeated rows. Null and empty texts, null item ids and
     items of fewer than five words match nothing; equal items count once; empty tables give an empty result.
     """
-    hits = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).select("doc_id", found(finders(spark, docs, bench)).alias("hits"))
+    hits = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).select("doc_id", found(finders(spark, bench)).alias("hits"))
     return hits.select("doc_id", F.inline("hits"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, bench: DataFrame) -> DataFrame:
     """The rows of ``docs`` in which no benchmark item is found, with their columns."""
-    return docs.where(F.size(found(finders(spark, docs, bench))) == 0)
+    return docs.where(F.size(found(finders(spark, bench))) == 0)

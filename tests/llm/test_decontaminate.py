@@ -72,6 +72,28 @@ def test_item_in_every_document_is_found(spark):
     assert len(got) == 200 and all((r.start, r.length, r.score) == (20, 30, 1.0) for r in got)
 
 
+@pytest.mark.parametrize("copies", [50, 51, 1000])
+def test_edited_and_partial_copies_are_found_however_many(spark, copies):
+    rng = np.random.default_rng(6)
+    item = [f"i{k}" for k in range(36)]
+    fifth = [f"e{k}" if k % 5 == 4 else w for k, w in enumerate(item)]
+    fourth = [f"e{k}" if k % 4 == 3 else w for k, w in enumerate(item)]
+    parts = (fifth, fourth, item[:20])
+    for part in parts:
+        docs = [(d, " ".join(words(rng, 20) + part + words(rng, 20))) for d in range(copies)] + [(-1, " ".join(item)), (-2, " ".join(item[19:]))]
+        got = dc.contaminated(spark, spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, " ".join(item))], "item_id long, text string"))
+        assert {r.doc_id for r in got.collect()} == {d for d, _ in docs if d != -2}
+
+
+def test_each_place_is_one_row():
+    item = [f"i{k}" for k in range(36)]
+    items = dc.Items([1], [" ".join(item)])
+    text = item[:3] + [f"a{k}" for k in range(25)] + item + item[:20] + ["b"] * 60 + item[10:] + item[:3]
+    h = dc.word_hashes([w.encode() for w in text], dc.WordHashes())
+    got = sorted((s, n) for *_, s, n in dc.align(items, [(0, i, a, h[a:b]) for i, a, b in items.windows(h)]))
+    assert got == [(28, 36), (64, 20), (144, 26)]
+
+
 def test_whole_small_table(spark):
     d = "/root/testdata/sf0.01"
     docs, bench = (spark.read.parquet(f"{d}/{t}.parquet") for t in ("documents", "benchmark"))
