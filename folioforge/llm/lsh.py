@@ -1,9 +1,10 @@
 """Groups of similar sets: banding, joint estimates, blocks, exact verification, components.
 
-No bucket is ever gathered into one task or expanded into all its pairs. A bucket's members are linked to
-its smallest and largest member; the links that the registers do not rule out give loose clusters; clusters
-are cut into blocks of bounded size, and each pair of blocks is one small task that checks full sets and
-returns a spanning forest of what it finds.
+No bucket is ever gathered into one task. A bucket's members are linked to its smallest and largest member; the
+links that the registers do not rule out give loose clusters. Members of a bucket that are then in different
+clusters are compared by their registers, in blocks of bounded size, and what can be similar joins its clusters: any
+two similar sets that share a bucket are in one cluster. Clusters are cut into blocks too, and each pair of blocks is
+one small task that checks full sets and returns a spanning forest of what it finds.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ SLACK = 0.16
 LOOSE = 0.40
 #: Shingles (each member counts 64 more) that a block holds on average.
 BLOCK = 60_000
+#: Members of a bucket that a block holds on average where their registers are compared.
+BUCKET = 1000
 
 
 def pair_filter(estimate: Callable, least: float) -> Callable:
@@ -91,6 +94,34 @@ def forest(table: pa.Table, threshold: tuple[int, int], estimate: Callable, slac
     return [(int(nodes[i]), int(nodes[find(i)])) for i in range(len(nodes)) if find(i) != i]
 
 
+def across(table: pa.Table, least: float, estimate: Callable) -> list[tuple[int, int]]:
+    """Links of the clusters of a bucket, or of a pair of its blocks, that hold a pair estimated at ``least`` or more."""
+    names, cluster = np.unique(table.column("component").to_numpy(), return_inverse=True)
+    side, n = table.column("side").to_numpy(), table.column("n").to_numpy()
+    regs = np.frombuffer(b"".join(table.column("regs").to_pylist()), np.uint16).reshape(len(n), -1)
+    one_block = side.min() == side.max()
+    links = []
+    for i in range(len(n) - 1):
+        js = i + 1 + np.flatnonzero((cluster[i + 1 :] != cluster[i]) & (one_block | (side[i + 1 :] != side[i])))
+        js = js[(n[js] >= least * n[i]) & (n[i] >= least * n[js])]
+        js = js[(regs[js] == regs[i]).sum(1) >= (least - 0.05) * regs.shape[1]]
+        if len(js):
+            est = estimate(np.repeat(regs[i][None], len(js), 0), regs[js], np.repeat(n[i], len(js)), n[js])
+            for c in np.unique(cluster[js[est >= least]]).tolist():
+                if c != cluster[i]:
+                    links.append((int(names[cluster[i]]), int(names[c])))
+                    cluster[cluster == c] = cluster[i]
+    return links
+
+
+def in_blocks(members: DataFrame) -> DataFrame:
+    """Each member once for every pair ``i, j`` of its group's ``blocks`` that its own block, ``side``, is in."""
+    mine = F.pmod(F.xxhash64("node"), F.col("blocks"))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    dealt = members.withColumn("side", mine.cast("long")).withColumn("other", other)
+    return dealt.withColumn("i", F.least("side", "other")).withColumn("j", F.greatest("side", "other"))
+
+
 def similar(scratch: Scratch, rows: DataFrame, sketches: DataFrame, packed: Callable[[DataFrame], DataFrame], *, estimate: Callable = sketch.joint_estimate, slack: float = SLACK, threshold: tuple[int, int] = (75, 100)) -> DataFrame:
     """``node, component`` for every set that is linked with another.
 
@@ -99,22 +130,35 @@ def similar(scratch: Scratch, rows: DataFrame, sketches: DataFrame, packed: Call
     with the sets' sorted shingles as little-endian 64-bit words, a row each.
     """
     hubs = rows.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
-    pairs = rows.join(hubs, "key").select("node", F.explode(F.array("lo", "hi")).alias("hub")).where("node <> hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+    shared = scratch.save(rows.join(hubs, "key").select("key", "node", "lo", "hi").distinct())
+    pairs = shared.select("node", F.explode(F.array("lo", "hi")).alias("hub")).where("node <> hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
     pairs = scratch.save(pairs)
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     few = scratch.save(sketches.join(wanted, "node").groupBy("node").agg(F.max("n").alias("n"), F.first("regs").alias("regs")))
     side = lambda x: few.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("regs").alias(f"r{x}"))
-    loose = pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(pair_filter(estimate, LOOSE), "a long, b long")
+    loose = scratch.save(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(pair_filter(estimate, LOOSE), "a long, b long"))
     clusters = scratch.save(components(loose, scratch))
-    scratch.drop(pairs)
+
+    # both hubs are compared with every member, so only the others can have met no one
+    others = shared.where("node <> lo and node <> hi").select("key", "node").join(clusters, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    others = scratch.save(others)
+    mixed = others.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.ceil(F.count(F.lit(1)) / BUCKET).cast("long").alias("blocks")).where("least < most").select("key", "blocks")
+    met = in_blocks(others.join(mixed, "key").join(few, "node")).select("key", "i", "j", "side", "component", "n", "regs")
+
+    def meet(table: pa.Table) -> pa.Table:
+        links = across(table, threshold[0] / threshold[1] - slack, estimate)
+        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
+
+    more = scratch.save(met.groupBy("key", "i", "j").applyInArrow(meet, "a long, b long"))
+    if not more.isEmpty():
+        scratch.drop(clusters)
+        clusters = scratch.save(components(loose.unionByName(more), scratch))
+    scratch.drop(pairs, shared, others, loose, more)
     members = scratch.save(clusters.join(few, "node"))
     scratch.drop(few)
     blocks = members.groupBy("component").agg(F.ceil(F.sum(F.col("n") + 64) / BLOCK).cast("long").alias("blocks"))
     members = members.join(blocks, "component").join(packed(clusters.select("node")), "node")
-    mine = F.pmod(F.xxhash64("node"), F.col("blocks"))
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    dealt = members.select("component", "node", "n", "regs", "sh", mine.alias("mine"), other.alias("other"))
-    dealt = dealt.select("component", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), F.col("mine").cast("long").alias("side"), "node", "n", "regs", "sh")
+    dealt = in_blocks(members).select("component", "i", "j", "side", "node", "n", "regs", "sh")
 
     def check(table: pa.Table) -> pa.Table:
         links = forest(table, threshold, estimate, slack)
