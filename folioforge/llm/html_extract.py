@@ -47,6 +47,10 @@ NAME_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 BRANCH_NAMES = re.compile(r"[A-Za-z]+(?:\d{1,2}(?!\d))?")
 
 
+#: Before a region's branch where the plain elements right in it are meant.
+REGION = "@"
+
+
 @dataclass(slots=True)
 class Element:
     tag: str
@@ -54,6 +58,7 @@ class Element:
     noise: bool
     main: int  # 0: none, 1: by name, 2: main, 3: article; the number of the region is in `region`
     region: int
+    root: str  # the branch of the region
     free: bool  # only plain elements stand between this one and its region
     link: bool
 
@@ -64,6 +69,7 @@ class Block:
     noise: bool
     main: int
     region: int
+    root: str
     free: bool
     heading: bool
     parts: list[str] = field(default_factory=list)
@@ -79,7 +85,7 @@ def names_of(attributes: str) -> tuple[set[str], dict[str, str]]:
 
 def blocks_of(page: str | None) -> list[Block]:
     """The page's text blocks in order, each with the branch of the style tree that it hangs on."""
-    root = Element("", "", False, 0, 0, False, False)
+    root = Element("", "", False, 0, 0, "", False, False)
     stack, out, current, regions = [root], [], None, 0
     page = page or ""
 
@@ -98,7 +104,7 @@ def blocks_of(page: str | None) -> list[Block]:
             if not raw.strip():
                 return
             at = next(e for e in reversed(stack) if e.tag not in INLINE)
-            current = Block(at.key, top.noise, at.main, at.region, at.free, any(e.tag in HEADINGS for e in stack[-4:]))
+            current = Block(at.key, top.noise, at.main, at.region, at.root, at.free, any(e.tag in HEADINGS for e in stack[-4:]))
         elif top.noise and not current.noise:
             return
         current.parts.append(raw)
@@ -161,13 +167,15 @@ def blocks_of(page: str | None) -> list[Block]:
         chrome = tag in CHROME or role in CHROME_ROLES or (tag not in ("html", "body") and bool(words & CHROME_WORDS) and kind < 2) or (tag == "header" and top.main < 2)
         if tag == "article" and words & (CHROME_WORDS - {"header", "side", "text"}):
             chrome = True
-        main, region, free = top.main, top.region, top.free and tag in PLAIN
+        main, region, root_key, free = top.main, top.region, top.root, top.free and tag in PLAIN
         if kind > main and not chrome:
             regions += 1
             main, region, free = kind, regions, True
         elif kind == 3 and main == 3 and not chrome:
             free = False
         key = top.key if not block else f"{top.key}/{tag}" + "".join(f".{w}" for k in ("class", "id") for w in sorted(set(BRANCH_NAMES.findall(attr.get(k, "")))))
+        if region != top.region:
+            root_key = key
         inside_header = tag == "header" and top.main >= 2
         noise = top.noise or hidden or chrome
         if tag in RAW:
@@ -176,14 +184,17 @@ def blocks_of(page: str | None) -> list[Block]:
                 add(page[at : done.start()])
             at = done.end()
             continue
-        stack.append(Element(tag, key, noise, main, region, free or inside_header, top.link or tag == "a"))
+        stack.append(Element(tag, key, noise, main, region, root_key, free or inside_header, top.link or tag == "a"))
     end(1)
     close()
     return out
 
 
 def choose(blocks: list[Block], noisy: frozenset[str] | set[str]) -> list[Block]:
-    """The article's blocks: those of the best region without chrome and without the host's noisy branches."""
+    """The article's blocks: those of all regions without chrome and without the host's noisy branches.
+
+    The largest region of the highest kind stays whatever its importance; of pages without regions all text stays but links.
+    """
     left = [b for b in blocks if not b.noise and (b.free or not any(b.key == n or b.key.startswith(n + "/") for n in noisy))]
     best = max((b.main for b in left), default=0)
     if best:
@@ -192,7 +203,7 @@ def choose(blocks: list[Block], noisy: frozenset[str] | set[str]) -> list[Block]
             if b.main == best:
                 size[b.region] = size.get(b.region, 0) + len(b.text)
         region = max(size, key=lambda r: (size[r], -r))
-        return [b for b in left if b.main == best and b.region == region]
+        return [b for b in left if b.main and (b.region == region or not b.free or REGION + b.root not in noisy)]
     return [b for b in left if b.linked < 0.8 * max(1, len(b.text)) or b.heading]
 
 
@@ -208,7 +219,9 @@ def _tree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             texts: dict[str, list[str]] = {}
             blocks = blocks_of(page)
             for x in blocks:
-                if not x.noise and not x.free:
+                if not x.noise and x.free:
+                    texts.setdefault(REGION + x.root, []).append(x.text)
+                elif not x.noise:
                     parts = x.key.split("/")
                     for k in range(2, len(parts) + 1):
                         branch = "/".join(parts[:k])
@@ -246,7 +259,8 @@ def extract(spark: SparkSession, pages: DataFrame, scratch: Scratch | None = Non
     line feed. What is never shown, what HTML's elements, roles or names mark as menus, headers, footers, sidebars,
     notices, adverts, forms or comments, and branches of low importance on the host's merged style tree are
     removed; plain paragraphs of an article are kept whatever their importance, because copies of a page do not
-    make it noise. Null and empty pages and pages without an article's text give an empty text; null urls
+    make it noise. Where elements, roles or names mark regions as the article's, all of them are kept in page order,
+    and text outside of them goes; only regions beside the largest can be of low importance. Null and empty pages and pages without an article's text give an empty text; null urls
     have an empty host; repeated rows give equal texts; an empty table gives an empty result.
     """
     scratch = scratch or Scratch(spark, "html")

@@ -20,6 +20,9 @@ CASES = [
     ("<article><p>a<script>b()</script>b</p><p hidden>h</p><p style='display: none'>i</p></article>", "ab"),
     ("<article><p>A</p><p>long enough text</p></article><article class=comment><p>" + "c " * 50 + "</p></article>", "A\nlong enough text"),
     ("a < b and c > d", "a < b and c > d"),
+    ("<body><div class=text><p>one</p></div><div class=promo><p>buy</p></div><div class=text><p>two is longer</p></div><section class=content><p>three</p></section>", "one\ntwo is longer\nthree"),
+    ("<article><p>a</p></article><aside><p>x</p></aside><article><p>bb</p></article>", "a\nbb"),
+    ("<main><h1>H</h1><article><p>a</p></article><p>after</p></main><footer>f</footer>", "H\na\nafter"),
     (None, ""),
     ("", ""),
     ("<nav>only menu</nav>", ""),
@@ -60,6 +63,12 @@ def test_copies_of_an_article_stay(spark):
     assert {r.text for r in hx.extract(spark, spark.createDataFrame(rows, "page_id long, url string, html string")).collect()} == {"Copied text"}
 
 
+def test_repeated_region_beside_the_article_goes(spark):
+    rows = [(i, f"http://h.org/{i}", f"<body><div class=text><p>Page {i} says {i * 7}</p></div><div class=content><p>Same {i % 2}</p></div><div class=text><p>and {i}</p></div></body>") for i in range(40)]
+    got = {r.page_id: r.text for r in hx.extract(spark, spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == f"Page {i} says {i * 7}\nand {i}" for i in range(40))
+
+
 def test_edge_cases(spark):
     long = "<article>" + "<p>w</p>" * 20_000 + "<div>" * 3000 + "deep"
     df = spark.createDataFrame([(1, None, None, "a"), (2, "u", "", "b"), (2, "u", "", "b"), (3, "http://x/", long, "c")], "page_id long, url string, html string, host string")
