@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 
 from .store import Scratch
 from .url_filter import host_of
+from .words import small
 
-#: A branch is noise on a host if its content's entropy over distinct pages, as a share of the greatest possible,
-#: is below LEAST; hosts with fewer distinct pages than PAGES say nothing about their branches.
-LEAST, PAGES = 0.35, 8
+#: A branch is noise on a host if its importance is below LEAST; branches on fewer distinct pages than PAGES say
+#: nothing (so texts that each stand on two pages are never noise). An element's presentation weighs 1 - GAMMA**l against its content, l being the number of its presentations.
+LEAST, PAGES, GAMMA = 0.6, 8, 0.9
 #: The hosts' noisy branches are broadcast only up to this many.
 BROADCAST_ROWS = 200_000
 
@@ -29,7 +30,6 @@ INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em fo
 CHROME = frozenset("nav aside footer form button select option menu dialog fieldset".split())
 CHROME_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog form menu menubar toolbar".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-PLAIN = HEADINGS | frozenset("p ul ol li blockquote pre dl dt dd hr center".split()) | INLINE
 #: Words of class and id names that mark what is not the article.
 CHROME_WORDS = frozenset(
     "nav navbar navigation menu menus submenu header masthead topbar footer foot sidebar side aside ad ads adv advert adverts advertisement advertising adsense adbox banner promo promotion "
@@ -47,19 +47,12 @@ NAME_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 BRANCH_NAMES = re.compile(r"[A-Za-z]+(?:\d{1,2}(?!\d))?")
 
 
-#: Before a region's branch where the plain elements right in it are meant.
-REGION = "@"
-
-
 @dataclass(slots=True)
 class Element:
     tag: str
     key: str
     noise: bool
-    main: int  # 0: none, 1: by name, 2: main, 3: article; the number of the region is in `region`
-    region: int
-    root: str  # the branch of the region
-    free: bool  # only plain elements stand between this one and its region
+    main: int  # 0: none, 1: by name, 2: main, 3: article
     link: bool
 
 
@@ -68,9 +61,6 @@ class Block:
     key: str
     noise: bool
     main: int
-    region: int
-    root: str
-    free: bool
     heading: bool
     parts: list[str] = field(default_factory=list)
     linked: int = 0
@@ -85,8 +75,8 @@ def names_of(attributes: str) -> tuple[set[str], dict[str, str]]:
 
 def blocks_of(page: str | None) -> list[Block]:
     """The page's text blocks in order, each with the branch of the style tree that it hangs on."""
-    root = Element("", "", False, 0, 0, "", False, False)
-    stack, out, current, regions = [root], [], None, 0
+    root = Element("", "", False, 0, False)
+    stack, out, current = [root], [], None
     page = page or ""
 
     def close() -> None:
@@ -104,7 +94,7 @@ def blocks_of(page: str | None) -> list[Block]:
             if not raw.strip():
                 return
             at = next(e for e in reversed(stack) if e.tag not in INLINE)
-            current = Block(at.key, top.noise, at.main, at.region, at.root, at.free, any(e.tag in HEADINGS for e in stack[-4:]))
+            current = Block(at.key, top.noise, at.main, any(e.tag in HEADINGS for e in stack[-4:]))
         elif top.noise and not current.noise:
             return
         current.parts.append(raw)
@@ -167,16 +157,8 @@ def blocks_of(page: str | None) -> list[Block]:
         chrome = tag in CHROME or role in CHROME_ROLES or (tag not in ("html", "body") and bool(words & CHROME_WORDS) and kind < 2) or (tag == "header" and top.main < 2)
         if tag == "article" and words & (CHROME_WORDS - {"header", "side", "text"}):
             chrome = True
-        main, region, root_key, free = top.main, top.region, top.root, top.free and tag in PLAIN
-        if kind > main and not chrome:
-            regions += 1
-            main, region, free = kind, regions, True
-        elif kind == 3 and main == 3 and not chrome:
-            free = False
+        main = max(top.main, kind) if not chrome else top.main
         key = top.key if not block else f"{top.key}/{tag}" + "".join(f".{w}" for k in ("class", "id") for w in sorted(set(BRANCH_NAMES.findall(attr.get(k, "")))))
-        if region != top.region:
-            root_key = key
-        inside_header = tag == "header" and top.main >= 2
         noise = top.noise or hidden or chrome
         if tag in RAW:
             done = re.compile(rf"</{tag}\s*>|\Z", re.I).search(page, at)
@@ -184,69 +166,106 @@ def blocks_of(page: str | None) -> list[Block]:
                 add(page[at : done.start()])
             at = done.end()
             continue
-        stack.append(Element(tag, key, noise, main, region, root_key, free or inside_header, top.link or tag == "a"))
+        stack.append(Element(tag, key, noise, main, top.link or tag == "a"))
     end(1)
     close()
     return out
 
 
+def branches(key: str) -> Iterator[str]:
+    """The branches that a block hangs on, from below the body to its own."""
+    parts = key.split("/")
+    for k in range(2, len(parts) + 1):
+        if parts[k - 1] not in ("html", "body"):
+            yield "/".join(parts[:k])
+
+
 def choose(blocks: list[Block], noisy: frozenset[str] | set[str]) -> list[Block]:
-    """The article's blocks: those of all regions without chrome and without the host's noisy branches.
+    """The article's blocks: first without the host's noisy branches, then without what names mark as other text.
 
-    The largest region of the highest kind stays whatever its importance; of pages without regions all text stays but links.
+    Where a region is marked as the article's only such regions stay; without any, all text but links stays. A page
+    of which so nothing is left (its host has nothing but copies of it) is judged by names alone.
     """
-    left = [b for b in blocks if not b.noise and (b.free or not any(b.key == n or b.key.startswith(n + "/") for n in noisy))]
-    best = max((b.main for b in left), default=0)
-    if best:
-        size: dict[int, int] = {}
-        for b in left:
-            if b.main == best:
-                size[b.region] = size.get(b.region, 0) + len(b.text)
-        region = max(size, key=lambda r: (size[r], -r))
-        return [b for b in left if b.main and (b.region == region or not b.free or REGION + b.root not in noisy)]
-    return [b for b in left if b.linked < 0.8 * max(1, len(b.text)) or b.heading]
+
+    def by_names(left: list[Block]) -> list[Block]:
+        left = [b for b in left if not b.noise]
+        if any(b.main for b in left):
+            return [b for b in left if b.main]
+        return [b for b in left if b.linked < 0.8 * max(1, len(b.text)) or b.heading]
+
+    if noisy:
+        known: dict[str, bool] = {}
+        for b in blocks:
+            if b.key not in known:
+                known[b.key] = any(k in noisy for k in branches(b.key))
+        left = by_names([b for b in blocks if not known[b.key]])
+        if left:
+            return left
+    return by_names(blocks)
 
 
 def digest(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
+def page_nodes(blocks: list[Block]) -> tuple[list[str], list[bool], list[int]]:
+    """Rows of the page's style tree: each branch with its presentation (the run of what hangs on it), and with each content."""
+    shapes: dict[str, list[str]] = {}
+    contents: dict[str, set[int]] = {}
+    for x in blocks:
+        content = digest(x.text)
+        for k in branches(x.key):
+            below = x.key[len(k) :]
+            runs = shapes.setdefault(k, [])
+            if not runs or runs[-1] != below:
+                runs.append(below)
+            contents.setdefault(k, set()).add(content)
+    key, style, node = [], [], []
+    for k, runs in shapes.items():
+        key += [k] * (1 + len(contents[k]))
+        style += [True] + [False] * len(contents[k])
+        node += [digest(" ".join(runs)), *sorted(contents[k])]
+    return key, style, node
+
+
 def _tree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each page its branches that importance may remove, with a hash of what hangs on them."""
-    for b in batches:
-        whole, keys, contents = [], [], []
+    for b in small(batches, 200):
+        whole, rows = [], []
         for page in b.column("html").to_pylist():
-            texts: dict[str, list[str]] = {}
             blocks = blocks_of(page)
-            for x in blocks:
-                if not x.noise and x.free:
-                    texts.setdefault(REGION + x.root, []).append(x.text)
-                elif not x.noise:
-                    parts = x.key.split("/")
-                    for k in range(2, len(parts) + 1):
-                        branch = "/".join(parts[:k])
-                        if parts[k - 1] not in ("html", "body"):
-                            texts.setdefault(branch, []).append(x.text)
             whole.append(digest("\n".join(x.text for x in blocks)))
-            keys.append(list(texts))
-            contents.append([digest("\n".join(t)) for t in texts.values()])
-        yield pa.RecordBatch.from_arrays([b.column("host"), pa.array(whole, pa.int64()), pa.array(keys, pa.list_(pa.string())), pa.array(contents, pa.list_(pa.int64()))], names=["host", "whole", "branch", "content"])
+            rows.append(page_nodes(blocks))
+        yield pa.RecordBatch.from_arrays([b.column("host"), pa.array(whole, pa.int64()), *(pa.array([r[i] for r in rows], pa.list_(t)) for i, t in enumerate((pa.string(), pa.bool_(), pa.int64())))], names=["host", "whole", "branch", "style", "node"])
 
 
-def noisy_branches(spark: SparkSession, pages: DataFrame, scratch: Scratch) -> DataFrame:
-    """``host, noisy``: branches whose content hardly differs over the host's distinct pages.
+def importance(spark: SparkSession, pages: DataFrame, scratch: Scratch) -> DataFrame:
+    """``host, branch, pages, importance`` of the hosts' merged style trees (``pages``: host, html).
+
+    The trees of a host's distinct pages are merged by the elements' tags and names. Over the m pages of a branch
+
+    - its presentation's importance is the entropy of what hangs on it, -sum p log_m p;
+    - a content (a block's text) on n pages has the entropy log_m n, and the branch's content importance is 1 less
+      the mean entropy of its distinct contents, so that many copies of one page weigh no more than one;
+    - both are mixed by the number l of its presentations: (1 - g**l) presentation + g**l content, g = GAMMA.
 
-    The style trees of a host's pages are merged by the branches' tags and names. A branch's importance is the
-    entropy of its contents over the pages, relative to that of all different contents. All sums are made
-    before the shuffle, by host, branch and content, so a host with most of the pages is no single task.
+    All sums are made before the shuffle, by host, branch and node, so a host with most of the pages is no single task.
     """
-    rows = scratch.save(pages.select("host", "html").mapInArrow(_tree, "host string, whole long, branch array<string>, content array<long>").where("size(branch) > 0"))
-    rows = rows.dropDuplicates(["host", "whole"]).select("host", F.explode(F.arrays_zip("branch", "content")).alias("x")).select("host", "x.branch", "x.content")
-    each = rows.groupBy("host", "branch", "content").agg(F.count(F.lit(1)).alias("n"))
-    n = F.col("n").cast("double")
-    tree = each.groupBy("host", "branch").agg(F.sum(n).alias("m"), F.sum(n * F.log(n)).alias("s"))
-    entropy = (F.log("m") - F.col("s") / F.col("m")) / F.log("m")
-    return scratch.save(tree.where((F.col("m") >= PAGES) & (entropy < LEAST)).groupBy("host").agg(F.collect_list("branch").alias("noisy")))
+    rows = scratch.save(pages.select("host", "html").mapInArrow(_tree, "host string, whole long, branch array<string>, style array<boolean>, node array<long>").where("size(branch) > 0"))
+    rows = rows.dropDuplicates(["host", "whole"]).select("host", F.explode(F.arrays_zip("branch", "style", "node")).alias("x")).select("host", "x.branch", "x.style", "x.node")
+    each = rows.groupBy("host", "branch", "style", "node").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    of = lambda style, x: F.sum(F.when(F.col("style") == style, x))
+    n, one = F.col("n"), F.lit(1.0)
+    tree = each.groupBy("host", "branch").agg(of(True, n).alias("m"), of(True, one).alias("l"), of(True, n * F.log(n)).alias("s"), of(False, one).alias("k"), of(False, F.log(n)).alias("t"))
+    presentation = 1 - F.col("s") / F.col("m") / F.log("m")
+    content = 1 - F.col("t") / F.col("k") / F.log("m")
+    mixed = F.when(F.col("m") > 1, presentation + F.pow(F.lit(GAMMA), "l") * (content - presentation)).otherwise(1.0)
+    return tree.select("host", "branch", F.col("m").cast("long").alias("pages"), mixed.alias("importance"))
+
+
+def noisy_branches(spark: SparkSession, pages: DataFrame, scratch: Scratch) -> DataFrame:
+    """``host, noisy``: the branches of low importance of each host that has any."""
+    tree = importance(spark, pages, scratch)
+    return scratch.save(tree.where((F.col("pages") >= PAGES) & (F.col("importance") < LEAST)).groupBy("host").agg(F.collect_list("branch").alias("noisy")))
 
 
 TEXT = "page_id bigint, url string, text string, n_chars bigint"
@@ -256,12 +275,13 @@ def extract(spark: SparkSession, pages: DataFrame, scratch: Scratch | None = Non
     """``page_id, url, text, n_chars`` for each row of ``pages`` (page_id, url, html; other columns are ignored).
 
     Character references are decoded, white space inside a block becomes one space, blocks are joined by one
-    line feed. What is never shown, what HTML's elements, roles or names mark as menus, headers, footers, sidebars,
-    notices, adverts, forms or comments, and branches of low importance on the host's merged style tree are
-    removed; plain paragraphs of an article are kept whatever their importance, because copies of a page do not
-    make it noise. Where elements, roles or names mark regions as the article's, all of them are kept in page order,
-    and text outside of them goes; only regions beside the largest can be of low importance. Null and empty pages and pages without an article's text give an empty text; null urls
-    have an empty host; repeated rows give equal texts; an empty table gives an empty result.
+    line feed. What is never shown goes. Then branches of low importance on the host's merged style tree go (see
+    ``importance``), then what HTML's elements, roles or names mark as menus, headers, footers, sidebars, notices,
+    adverts, forms or comments; this alone decides on hosts with few pages, and on a page of which the tree would leave
+    nothing, because copies of a page do not make it noise. Where elements, roles or names mark regions as the article's,
+    all of them are kept in page order, and text outside of them goes. Null and empty pages and pages without an
+    article's text give an empty text; null urls have an empty host; repeated rows give equal texts; pages of any length
+    are read whole; an empty table gives an empty result.
     """
     scratch = scratch or Scratch(spark, "html")
     base = pages.select("page_id", "url", F.coalesce(host_of(F.col("url").cast("string")), F.lit("")).alias("host"), F.col("html").cast("string").alias("html"))

@@ -1,9 +1,13 @@
 import html
+import itertools
+import math
 import re
+from collections import Counter
 
 import pytest
 
 from folioforge.llm import html_extract as hx
+from folioforge.llm.store import Scratch
 
 
 def text(page, noisy=()):
@@ -57,15 +61,63 @@ def test_style_tree_removes_repeated_branches_without_telling_names(spark):
     assert all(got[i] == f"Page {i} says {i * 7}" for i in range(40)) and got[101] == "Same"
 
 
+def plain_importance(pages):
+    """Importance of each branch of one host by loops over its distinct pages."""
+    merged = {}
+    for blocks in {"\n".join(b.text for b in x): x for x in map(hx.blocks_of, pages)}.values():
+        for branch in {k for b in blocks for k in hx.branches(b.key)}:
+            mine = [b for b in blocks if branch in hx.branches(b.key)]
+            shape = [k for k, _ in itertools.groupby(b.key[len(branch) :] for b in mine)]
+            merged.setdefault(branch, []).append((tuple(shape), {b.text for b in mine}))
+    out = {}
+    for branch, seen in merged.items():
+        m, shapes, texts = len(seen), Counter(s for s, _ in seen), Counter(t for _, x in seen for t in x)
+        if m == 1:
+            out[branch] = 1.0
+            continue
+        shape = -sum(n / m * math.log(n / m, m) for n in shapes.values())
+        text = 1 - sum(math.log(n, m) for n in texts.values()) / len(texts)
+        out[branch] = (1 - hx.GAMMA ** len(shapes)) * shape + hx.GAMMA ** len(shapes) * text
+    return out
+
+
+def test_importance_matches_loops(spark):
+    pages = [r.html for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").where("url like '%blog%'").collect()]
+    pages += pages[:3] + [f"<div class=a><p>{i % 3}<p>{i % 4}<h2>{i}</h2></div><div class=b>x</div>" * (1 + i % 2) for i in range(12)]
+    df = spark.createDataFrame([("h", p) for p in pages], "host string, html string")
+    got = {r.branch: r.importance for r in hx.importance(spark, df, Scratch(spark, "t")).collect()}
+    want = plain_importance(pages)
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def site(pages):
+    return [(i, f"http://h.org/{i}", p) for i, p in enumerate(pages)]
+
+
+def test_tree_decides_where_nothing_else_tells(spark, monkeypatch):
+    head = "<table class=q1><tr><td>All goods are shipped within a week of the order and may be sent back</td></tr></table>"
+    pages = [f"<body>{head}<div class=q2><p>Story {i} begins</p><p>and goes on {i * 7} times</p></div><div class=q3><b>House rule {i % 2}</b></div></body>" for i in range(40)]
+    df = spark.createDataFrame(site(pages) + [(100 + i, f"http://few.org/{i}", pages[i]) for i in range(3)], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in hx.extract(spark, df).collect()}
+    assert all(got[i] == f"Story {i} begins\nand goes on {i * 7} times" for i in range(40))
+    assert got[101].startswith("All goods") and got[101].endswith("House rule 1")  # too few pages
+    monkeypatch.setattr(hx, "LEAST", 0.0)
+    without = {r.page_id: r.text for r in hx.extract(spark, df).collect()}
+    assert all(without[i] != got[i] for i in range(40))
+
+
 def test_copies_of_an_article_stay(spark):
-    page = "<body><article><p>Copied text</p></article></body>"
-    rows = [(i, "http://h.org/", page + " " * (i % 3)) for i in range(60)]
-    assert {r.text for r in hx.extract(spark, spark.createDataFrame(rows, "page_id long, url string, html string")).collect()} == {"Copied text"}
+    page = "<body><nav><a href=x>menu {0}</a></nav><article><p>Copied text</p></article><footer>{0}</footer></body>"
+    copies = [page.format(i) for i in range(60)]
+    others = [p.replace("Copied text", f"Own text {i}</p><p>Second {i}") for i, p in enumerate(copies[:50])]
+    got = lambda pages: [r.text for r in hx.extract(spark, spark.createDataFrame(site(pages), "page_id long, url string, html string")).orderBy("page_id").collect()]
+    assert set(got(copies)) == {"Copied text"}
+    assert got(copies + others) == ["Copied text"] * 60 + [f"Own text {i}\nSecond {i}" for i in range(50)]
 
 
 def test_repeated_region_beside_the_article_goes(spark):
-    rows = [(i, f"http://h.org/{i}", f"<body><div class=text><p>Page {i} says {i * 7}</p></div><div class=content><p>Same {i % 2}</p></div><div class=text><p>and {i}</p></div></body>") for i in range(40)]
-    got = {r.page_id: r.text for r in hx.extract(spark, spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    pages = [f"<body><div class=text><p>Page {i} says {i * 7}</p></div><div class=content><p>Same {i % 2}</p></div><div class=text><p>and {i}</p></div></body>" for i in range(40)]
+    got = {r.page_id: r.text for r in hx.extract(spark, spark.createDataFrame(site(pages), "page_id long, url string, html string")).collect()}
     assert all(got[i] == f"Page {i} says {i * 7}\nand {i}" for i in range(40))
 
 
