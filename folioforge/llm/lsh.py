@@ -1,10 +1,11 @@
 """Groups of similar sets: banding, joint estimates, blocks, exact verification, components.
 
-No bucket is ever gathered into one task. A bucket's members are linked to its smallest and largest member; the
-links that the registers do not rule out give loose clusters. Members of a bucket that are then in different
-clusters are compared by their registers, in blocks of bounded size, and what can be similar joins its clusters: any
-two similar sets that share a bucket are in one cluster. Clusters are cut into blocks too, and each pair of blocks is
-one small task that checks full sets and returns a spanning forest of what it finds.
+No bucket is ever gathered into one task. A bucket's members are linked to its smallest member; the links that the
+registers do not rule out give loose clusters. A bucket's members outside its largest cluster are then
+compared with all others of the bucket by their registers, in blocks of bounded size, and what can be similar joins
+its clusters: any two similar sets that share a bucket are in one cluster. A cluster of several blocks is first checked
+against its smallest member on full sets; only what is not linked to it is compared with the rest, so that a
+family of near-copies costs about one comparison a member.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import sketch
@@ -28,92 +29,84 @@ LOOSE = 0.40
 BLOCK = 60_000
 #: Members of a bucket that a block holds on average where their registers are compared.
 BUCKET = 1000
+LINKS = "a long, b long"
 
 
-def pair_filter(estimate: Callable, least: float) -> Callable:
+def as_links(links: list[tuple[int, int]]) -> pa.Table:
+    return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
+
+
+class Registers:
+    """Comparison of sets by their registers: ``close`` is false only for pairs estimated below ``least``."""
+
+    def __init__(self, estimate: Callable, least: float):
+        self.estimate, self.least = estimate, least
+
+    def table(self, blobs: list[bytes]) -> np.ndarray:
+        return np.frombuffer(b"".join(blobs), np.uint16).reshape(len(blobs), -1)
+
+    def close(self, x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray) -> np.ndarray:
+        """For each row of ``y`` whether it can be similar to the row of ``x`` (or to its only row)."""
+        ok = (self.least * nx <= ny) & (self.least * ny <= nx) & ((x == y).sum(axis=1) >= (self.least - 0.05) * y.shape[1])
+        at = np.flatnonzero(ok)
+        if len(at):
+            pick = lambda v: v[at] if len(v) == len(y) else np.repeat(v, len(at), axis=0)
+            ok[at] = self.estimate(pick(x), y[at], pick(nx), ny[at]) >= self.least
+        return ok
+
+
+def pair_filter(compare: Registers) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
                 continue
-            r1, r2 = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint16).reshape(b.num_rows, -1) for c in ("ra", "rb"))
-            n1, n2 = (b.column(c).to_numpy() for c in ("na", "nb"))
-            keep = np.flatnonzero(estimate(r1, r2, n1, n2) >= least)
-            yield pa.RecordBatch.from_arrays([b.column("a").take(pa.array(keep)), b.column("b").take(pa.array(keep))], names=["a", "b"])
+            x, y = b.column("ra").to_pylist(), b.column("rb").to_pylist()
+            n1, n2 = b.column("na").to_numpy(), b.column("nb").to_numpy()
+            size = np.fromiter(map(len, x), np.int64, len(x))
+            keep = np.zeros(len(x), bool)
+            for s in np.unique(size):
+                at = np.flatnonzero(size == s)
+                keep[at] = compare.close(compare.table([x[i] for i in at]), compare.table([y[i] for i in at]), n1[at], n2[at])
+            at = pa.array(np.flatnonzero(keep))
+            yield pa.RecordBatch.from_arrays([b.column("a").take(at), b.column("b").take(at)], names=["a", "b"])
 
     return run
 
 
-def forest(table: pa.Table, threshold: tuple[int, int], estimate: Callable, slack: float) -> list[tuple[int, int]]:
-    """Links (node, root) of the similar sets in a pair of blocks; pairs inside one tree are not looked at."""
-    nodes = table.column("node").to_numpy()
-    side = table.column("side").to_numpy()
-    n = table.column("n").to_numpy()
-    regs = np.frombuffer(b"".join(table.column("regs").to_pylist()), np.uint16).reshape(len(nodes), -1)
-    packed = table.column("sh").to_pylist()
-    sets: dict[int, np.ndarray] = {}
-    up = list(range(len(nodes)))
-
-    def find(i: int) -> int:
-        while up[i] != i:
-            up[i] = up[up[i]]
-            i = up[i]
-        return i
-
-    def full(i: int) -> frozenset:
-        if i not in sets:
-            sets[i] = frozenset(np.frombuffer(packed[i], np.uint64).tolist())
-        return sets[i]
-
-    part, whole = threshold
-    least = part / whole - slack
-    one_block = side.min() == side.max()
-    order = np.argsort(-n, kind="stable")
-    for k, i in enumerate(order.tolist()):
-        js = order[k + 1 :]
-        js = js[whole * n[js] >= part * n[i]]
-        if not one_block:
-            js = js[side[js] != side[i]]
-        root = find(i)
-        js = np.fromiter((j for j in js.tolist() if find(j) != root), np.int64)
-        if not len(js):
-            continue
-        js = js[(regs[js] == regs[i]).sum(1) >= (least - 0.05) * regs.shape[1]]
-        if not len(js):
-            continue
-        est = estimate(np.repeat(regs[i][None], len(js), 0), regs[js], np.repeat(n[i], len(js)), n[js])
-        for at in np.argsort(-est, kind="stable"):
-            if est[at] < least:
-                break
-            j = int(js[at])
-            if (rj := find(j)) == (ri := find(i)):
-                continue
-            inter = len(full(i) & full(j))
-            if whole * inter >= part * (int(n[i]) + int(n[j]) - inter):
-                lo, hi = sorted((ri, rj), key=lambda r: nodes[r])
-                up[hi] = lo
-    return [(int(nodes[i]), int(nodes[find(i)])) for i in range(len(nodes)) if find(i) != i]
-
-
-def across(table: pa.Table, least: float, estimate: Callable) -> list[tuple[int, int]]:
-    """Links of the clusters of a bucket, or of a pair of its blocks, that hold a pair estimated at ``least`` or more."""
+def across(table: pa.Table, compare: Registers) -> list[tuple[int, int]]:
+    """Links of the clusters of a bucket's block and of some members outside its main cluster that hold a close pair."""
     names, cluster = np.unique(table.column("component").to_numpy(), return_inverse=True)
-    side, n = table.column("side").to_numpy(), table.column("n").to_numpy()
-    regs = np.frombuffer(b"".join(table.column("regs").to_pylist()), np.uint16).reshape(len(n), -1)
-    one_block = side.min() == side.max()
+    minor, n = table.column("minor").to_numpy(zero_copy_only=False), table.column("n").to_numpy()
+    regs = compare.table(table.column("regs").to_pylist())
+    rest = np.flatnonzero(~minor)
     links = []
-    for i in range(len(n) - 1):
-        js = i + 1 + np.flatnonzero((cluster[i + 1 :] != cluster[i]) & (one_block | (side[i + 1 :] != side[i])))
-        js = js[(n[js] >= least * n[i]) & (n[i] >= least * n[js])]
-        js = js[(regs[js] == regs[i]).sum(1) >= (least - 0.05) * regs.shape[1]]
+    for i in np.flatnonzero(minor).tolist():
+        js = rest[cluster[rest] != cluster[i]]
         if len(js):
-            est = estimate(np.repeat(regs[i][None], len(js), 0), regs[js], np.repeat(n[i], len(js)), n[js])
-            for c in np.unique(cluster[js[est >= least]]).tolist():
-                if c != cluster[i]:
-                    links.append((int(names[cluster[i]]), int(names[c])))
-                    cluster[cluster == c] = cluster[i]
+            js = js[compare.close(regs[i][None], regs[js], n[i : i + 1], n[js])]
+            for c in np.unique(cluster[js]).tolist():
+                links.append((int(names[cluster[i]]), int(names[c])))
+                cluster[cluster == c] = cluster[i]
     return links
 
 
+def against(members: DataFrame, key: str, size: Column, least: int) -> DataFrame:
+    """Rows dealt to ``key, i, j`` so that each block i of minor members meets each block j of all.
+
+    ``members`` has key, node and minor (BOOLEAN); blocks hold ``least`` of the sums of ``size`` on average. In the result
+    ``minor`` tells in which role a row came: minor members come in both.
+    """
+    per = members.groupBy(key).agg(F.ceil(F.sum(F.when(F.col("minor"), size)) / least).cast("long").alias("few"), F.ceil(F.sum(size) / least).cast("long").alias("all"))
+    dealt = members.join(per.where("few > 0"), key)
+    mine = lambda blocks: F.pmod(F.xxhash64("node"), F.col(blocks))
+    every = lambda blocks: F.sequence(F.lit(0).cast("long"), F.col(blocks) - 1)
+    role = lambda minor, i, j: F.struct(F.lit(minor).alias("minor"), i.alias("i"), j.alias("j"))
+    first = F.when(F.col("minor"), F.transform(every("all"), lambda j: role(True, mine("few"), j))).otherwise(F.array().cast("array<struct<minor:boolean,i:bigint,j:bigint>>"))
+    second = F.transform(every("few"), lambda i: role(False, i, mine("all")))
+    rows = dealt.withColumn("_to", F.explode(F.concat(first, second))).drop("minor", "few", "all")
+    return rows.select("*", "_to.minor", "_to.i", "_to.j").drop("_to")
+
+
 def in_blocks(members: DataFrame) -> DataFrame:
     """Each member once for every pair ``i, j`` of its group's ``blocks`` that its own block, ``side``, is in."""
     mine = F.pmod(F.xxhash64("node"), F.col("blocks"))
@@ -122,49 +115,114 @@ def in_blocks(members: DataFrame) -> DataFrame:
     return dealt.withColumn("i", F.least("side", "other")).withColumn("j", F.greatest("side", "other"))
 
 
-def similar(scratch: Scratch, rows: DataFrame, sketches: DataFrame, packed: Callable[[DataFrame], DataFrame], *, estimate: Callable = sketch.joint_estimate, slack: float = SLACK, threshold: tuple[int, int] = (75, 100)) -> DataFrame:
-    """``node, component`` for every set that is linked with another.
+def loose_clusters(scratch: Scratch, rows: DataFrame, sketches: DataFrame, hubs_by: Registers, others_by: Registers) -> tuple[DataFrame, DataFrame]:
+    """``node, component`` of what may be similar, and ``node, n, regs`` of all that share a bucket.
 
-    ``rows``: node LONG and key LONG, one for each band of each set, repeats allowed. ``sketches``: node, n
-    LONG, regs BINARY, repeats allowed. ``packed`` takes a table of distinct nodes and returns ``node, sh``
-    with the sets' sorted shingles as little-endian 64-bit words, a row each.
+    ``rows``: node LONG and key LONG, one for each band of each set, repeats allowed. ``sketches``: node, n LONG,
+    regs BINARY, repeats allowed.
     """
-    hubs = rows.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
-    shared = scratch.save(rows.join(hubs, "key").select("key", "node", "lo", "hi").distinct())
-    pairs = shared.select("node", F.explode(F.array("lo", "hi")).alias("hub")).where("node <> hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-    pairs = scratch.save(pairs)
+    hubs = rows.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("hi")).where("hub < hi").drop("hi")
+    shared = scratch.save(rows.join(hubs, "key").select("key", "node", "hub").distinct())
+    pairs = scratch.save(shared.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct())
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     few = scratch.save(sketches.join(wanted, "node").groupBy("node").agg(F.max("n").alias("n"), F.first("regs").alias("regs")))
     side = lambda x: few.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("regs").alias(f"r{x}"))
-    loose = scratch.save(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(pair_filter(estimate, LOOSE), "a long, b long"))
+    loose = scratch.save(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(pair_filter(hubs_by), LINKS))
     clusters = scratch.save(components(loose, scratch))
 
-    # both hubs are compared with every member, so only the others can have met no one
-    others = shared.where("node <> lo and node <> hi").select("key", "node").join(clusters, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    # the hub is compared with every member, so only the others can have met no one; most are in the main cluster
+    others = shared.where("node <> hub").select("key", "node").join(clusters, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
     others = scratch.save(others)
-    mixed = others.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.ceil(F.count(F.lit(1)) / BUCKET).cast("long").alias("blocks")).where("least < most").select("key", "blocks")
-    met = in_blocks(others.join(mixed, "key").join(few, "node")).select("key", "i", "j", "side", "component", "n", "regs")
-
-    def meet(table: pa.Table) -> pa.Table:
-        links = across(table, threshold[0] / threshold[1] - slack, estimate)
-        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
-
-    more = scratch.save(met.groupBy("key", "i", "j").applyInArrow(meet, "a long, b long"))
+    sizes = others.groupBy("key", "component").agg(F.count(F.lit(1)).alias("m"))
+    mixed = sizes.groupBy("key").agg(F.max_by("component", F.struct("m", "component")).alias("main"), F.count(F.lit(1)).alias("clusters")).where("clusters > 1").drop("clusters")
+    others_of = others.join(mixed, "key").withColumn("minor", F.col("component") != F.col("main"))
+    met = against(others_of.join(few, "node"), "key", F.lit(1), BUCKET).select("key", "i", "j", "minor", "component", "n", "regs")
+    more = scratch.save(met.groupBy("key", "i", "j").applyInArrow(lambda t: as_links(across(t, others_by)), LINKS))
     if not more.isEmpty():
         scratch.drop(clusters)
         clusters = scratch.save(components(loose.unionByName(more), scratch))
     scratch.drop(pairs, shared, others, loose, more)
-    members = scratch.save(clusters.join(few, "node"))
-    scratch.drop(few)
-    blocks = members.groupBy("component").agg(F.ceil(F.sum(F.col("n") + 64) / BLOCK).cast("long").alias("blocks"))
-    members = members.join(blocks, "component").join(packed(clusters.select("node")), "node")
-    dealt = in_blocks(members).select("component", "i", "j", "side", "node", "n", "regs", "sh")
+    return clusters, few
+
+
+class Forest:
+    """Links of the similar sets among members of a cluster; pairs inside one tree are not looked at."""
+
+    def __init__(self, threshold: tuple[int, int], estimate: Callable, slack: float):
+        self.part, self.whole = threshold
+        self.compare = Registers(estimate, self.part / self.whole - slack)
+
+    def links(self, table: pa.Table, pairs: str) -> list[tuple[int, int]]:
+        """``pairs``: "all", "minor" (a minor role and another) or "hub" (the hub and another)."""
+        nodes, n = table.column("node").to_numpy(), table.column("n").to_numpy()
+        regs = self.compare.table(table.column("regs").to_pylist())
+        packed = table.column("sh").to_pylist()
+        first = np.ones(len(nodes), bool) if pairs == "all" else table.column("minor").to_numpy(zero_copy_only=False)
+        tree = table.column("tree").to_numpy() if "tree" in table.column_names else nodes
+        sets: dict[int, frozenset] = {}
+        names, up = np.unique(tree, return_inverse=True)
+        root = list(range(len(names)))
+
+        def find(i: int) -> int:
+            while root[i] != i:
+                root[i] = root[root[i]]
+                i = root[i]
+            return i
+
+        def full(i: int) -> frozenset:
+            if i not in sets:
+                sets[i] = frozenset(np.frombuffer(packed[i], np.uint64).tolist())
+            return sets[i]
+
+        out = []
+        rest = np.arange(len(nodes)) if pairs == "all" else np.flatnonzero(~first)
+        order = np.argsort(-n, kind="stable")
+        rank = np.empty(len(nodes), np.int64)
+        rank[order] = np.arange(len(nodes))
+        for i in order[first[order]].tolist():
+            js = rest[rank[rest] > rank[i]] if pairs == "all" else rest
+            js = js[(self.whole * n[js] >= self.part * n[i]) & (self.whole * n[i] >= self.part * n[js])]
+            mine = find(up[i])
+            js = np.fromiter((j for j in js.tolist() if find(up[j]) != mine), np.int64)
+            if not len(js):
+                continue
+            for j in js[self.compare.close(regs[i][None], regs[js], n[i : i + 1], n[js])].tolist():
+                if (rj := find(up[j])) == (ri := find(up[i])):
+                    continue
+                inter = len(full(i) & full(j))
+                if self.whole * inter >= self.part * (int(n[i]) + int(n[j]) - inter):
+                    root[max(ri, rj)] = min(ri, rj)
+                    out.append((int(nodes[i]), int(nodes[j])))
+        return out
+
 
-    def check(table: pa.Table) -> pa.Table:
-        links = forest(table, threshold, estimate, slack)
-        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
+def similar(scratch: Scratch, rows: DataFrame, sketches: DataFrame, packed: Callable[[DataFrame], DataFrame], *, estimate: Callable = sketch.joint_estimate, slack: float = SLACK, threshold: tuple[int, int] = (75, 100)) -> DataFrame:
+    """``node, component`` for every set that is linked with another.
 
-    links = scratch.save(dealt.groupBy("component", "i", "j").applyInArrow(check, "a long, b long"))
+    ``rows`` and ``sketches`` as for ``loose_clusters``. ``packed`` takes a table of distinct nodes and returns
+    ``node, sh`` with the sets' sorted shingles as little-endian 64-bit words, a row each.
+    """
+    forest = Forest(threshold, estimate, slack)
+    clusters, few = loose_clusters(scratch, rows, sketches, Registers(estimate, LOOSE), forest.compare)
+    members = clusters.join(few, "node")
+    size = F.col("n") + 64
+    blocks = clusters.join(few.select("node", "n"), "node").groupBy("component").agg(F.ceil(F.sum(size) / BLOCK).cast("long").alias("blocks"))
+    members = members.join(blocks, "component").join(packed(clusters.select("node")), "node")
+    members = scratch.save(members.select("component", "blocks", "node", "n", "regs", "sh"))
+
+    one = members.where("blocks = 1").groupBy("component").applyInArrow(lambda t: as_links(forest.links(t, "all")), LINKS)
+    large = members.where("blocks > 1")
+    # the smallest member, once for each block, and the others
+    hub = large.where("node = component").withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).withColumn("minor", F.lit(True))
+    rest = large.where("node <> component").withColumn("i", F.pmod(F.xxhash64("node"), F.col("blocks"))).withColumn("minor", F.lit(False))
+    first = scratch.save(hub.unionByName(rest).groupBy("component", "i").applyInArrow(lambda t: as_links(forest.links(t, "hub")), LINKS))
+    linked = first.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("linked", F.lit(True))
+    left = large.join(linked, "node", "left").withColumn("minor", F.col("linked").isNull() & (F.col("node") != F.col("component"))).drop("linked")
+    left = left.withColumn("tree", F.when(F.col("minor"), F.col("node")).otherwise(F.col("component")))
+    dealt = against(left, "component", size, BLOCK).select("component", "i", "j", "minor", "node", "tree", "n", "regs", "sh")
+    more = dealt.groupBy("component", "i", "j").applyInArrow(lambda t: as_links(forest.links(t, "minor")), LINKS)
+
+    links = scratch.save(one.unionByName(first).unionByName(more))
     out = components(links, scratch)
-    scratch.drop(clusters, links)
+    scratch.drop(clusters, few, members, first, links)
     return out

@@ -24,3 +24,36 @@ def test_pair_in_a_bucket_whose_hubs_are_unlike_it(spark, monkeypatch, kind, buc
     options = {} if kind == "joint" else {"estimate": sketch.plain_estimate, "slack": 0.25}
     got = lsh.similar(Scratch(spark, "lsh-test"), rows, sketches, lambda nodes: full.join(nodes, "node", "left_semi"), **options)
     assert {(r.node, r.component) for r in got.collect()} == {(k, 10) for k in (10, 11, 12, 13)}
+
+
+@pytest.mark.parametrize("block", [60_000, 700])
+def test_clusters_of_many_blocks_give_the_same_components(spark, monkeypatch, block):
+    """Two families near a common core, chains that miss the core, and copies of a core, against all pairs."""
+    monkeypatch.setattr(lsh, "BLOCK", block)
+    monkeypatch.setattr(lsh, "BUCKET", 5)
+    rng = np.random.default_rng(5)
+    draw = lambda n: rng.integers(0, 1 << 63, n).astype(np.uint64)
+    core = draw(100)
+    sets = {i: np.unique(np.concatenate([core[: 100 - int(rng.integers(0, 45))], draw(int(rng.integers(0, 12)))])) for i in range(60)}
+    sets |= {100 + i: np.unique(np.concatenate([core[10 * (i % 6) :], draw(10 * (i % 6))])) for i in range(30)}
+    regs = {k: sketch.set_sketch(x).tobytes() for k, x in sets.items()}
+    rows = spark.createDataFrame([(k, 7) for k in sets], "node long, key long")
+    sketches = spark.createDataFrame([(k, len(x), regs[k]) for k, x in sets.items()], "node long, n long, regs binary")
+    full = spark.createDataFrame([(k, x.tobytes()) for k, x in sets.items()], "node long, sh binary")
+    got = lsh.similar(Scratch(spark, "lsh-test"), rows, sketches, lambda nodes: full.join(nodes, "node", "left_semi"))
+    up = {k: k for k in sets}
+
+    def find(k):
+        while up[k] != k:
+            k = up[k]
+        return k
+
+    for i in sets:
+        for j in sets:
+            both = len(np.intersect1d(sets[i], sets[j]))
+            if i < j and 100 * both >= 75 * (len(sets[i]) + len(sets[j]) - both):
+                a, b = sorted((find(i), find(j)))
+                up[b] = a
+    want = {(k, find(k)) for k in sets}
+    alone = {k for k in sets if sum(find(j) == find(k) for j in sets) == 1}
+    assert {(r.node, r.component) for r in got.collect()} == {w for w in want if w[0] not in alone}
