@@ -1,8 +1,15 @@
-"""Near-duplicate vectors by int8 tile products with rigorous error bounds."""
+"""Near-duplicate vectors by int8 tile products with rigorous error bounds.
+
+Tiles are pieces of the cells of several random partitions of the sphere (cross-polytopes: a rotated vector's cell is
+its largest coordinate and that one's sign). Vectors are copied to no other tile, so the work follows the vectors and
+their neighbours instead of all pairs of tiles.
+"""
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,12 +18,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .graph import components
-from .store import Scratch, bounded_sample
+from .lsh import Registers, in_blocks, loose_clusters
+from .store import Scratch
+from .words import mix, small
 
 #: Distinct vectors that a tile holds on average.
 TILE = 6000
-#: Cells are the surroundings of this many sampled vectors at most, drawn from a bounded sample.
-MAX_CELLS, SAMPLE = 256, 4096
+#: Coordinates of a rotation; its cells by sign and place.
+WIDTH = 64
+#: Two vectors at a cosine of 0.95 share a rotation's cell with at least this probability (0.60 measured for 8 to 768
+#: dimensions, 0.55 for 3), and no partition's cell with at most the probability MISS.
+SHARED, MISS = 0.55, 1e-6
 #: Rows of a tile multiplied at once, and pairs recomputed at once.
 STRIP, PAIRS = 512, 200_000
 SLOP = 1e-9
@@ -107,91 +119,114 @@ def merge(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return label
 
 
+def partitions(total: int) -> tuple[int, int]:
+    """Rotations that one partition combines, so that cells are small for the number of vectors, and partitions."""
+    rotations = max(2, math.ceil((math.log2(max(2, total)) + 4) / math.log2(2 * WIDTH)))
+    return rotations, math.ceil(math.log(MISS) / math.log(1 - SHARED**rotations))
+
+
+@functools.lru_cache(maxsize=8)
+def rotations(dim: int, count: int) -> np.ndarray:
+    """Random directions, WIDTH for each of ``count`` rotations, the same on every executor."""
+    rng = np.random.default_rng([20240611, dim])
+    out = rng.normal(size=(count, max(dim, WIDTH), WIDTH)).astype(np.float32)
+    return np.linalg.qr(out)[0][:, :dim].transpose(1, 0, 2).reshape(dim, -1) if dim >= WIDTH else out[:, :dim].transpose(1, 0, 2).reshape(dim, -1)
+
+
+def cells(x: np.ndarray, combine: int, count: int) -> np.ndarray:
+    """A 64-bit key of each unit vector's cell in each partition; dimension and partition are part of it."""
+    turned = (x.astype(np.float32) @ rotations(x.shape[1], combine * count)).reshape(len(x), count, combine, WIDTH)
+    top = np.abs(turned).argmax(axis=3)
+    cell = (2 * top + (np.take_along_axis(turned, top[..., None], 3)[..., 0] > 0)).astype(np.uint64)
+    h = np.arange(count, dtype=np.uint64)[None] * np.uint64(0x9E3779B97F4A7C15) + np.uint64(x.shape[1])
+    for k in range(combine):
+        h = mix(h * np.uint64(2 * WIDTH + 1) + cell[:, :, k])
+    return h.view(np.int64)
+
+
+class Codes(Registers):
+    """Comparison of int8 codes: ``close`` is false only for pairs that the error bounds rule out."""
+
+    def __init__(self, least: float):
+        self.least = least
+
+    def table(self, blobs: list[bytes]) -> np.ndarray:
+        return np.frombuffer(b"".join(blobs), np.uint8).reshape(len(blobs), -1)
+
+    @staticmethod
+    def pack(x: np.ndarray) -> list[bytes]:
+        """Scale, norm and error norm in front of the codes of each unit vector."""
+        q, scale, norm, error = quantise(x)
+        return [h.tobytes() + c.tobytes() for h, c in zip(np.stack([scale, norm, error], axis=1), q)]
+
+    def close(self, x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray) -> np.ndarray:
+        (sx, mx, ex), (sy, my, ey) = (np.ascontiguousarray(v[:, :24]).view(np.float64).T for v in (x, y))
+        a, b = x[:, 24:].view(np.int8).astype(np.float64), y[:, 24:].view(np.int8).astype(np.float64)
+        product = b @ a[0] if len(a) == 1 else np.einsum("ij,ij->i", a, b)
+        return product * sx * sy + mx * ey + ex * my + ex * ey >= self.least
+
+
 def near_vectors(spark: SparkSession, vectors: DataFrame, *, least: float = 0.95, scratch: Scratch | None = None) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for each row of ``vectors`` (vec_id LONG, embedding ARRAY<FLOAT or DOUBLE>).
 
-    Vectors with a cosine (double precision) of at least ``least`` are linked. Null, empty and zero vectors
-    and those with null or non-finite components have no links; vectors of different dimension neither. Equal
+    Vectors with a cosine (double precision) of at least ``least`` (0.95 or more) are linked. Null, empty and zero
+    vectors and those with null or non-finite components have no links; vectors of different dimension neither. Equal
     vectors are compared once and counted each; rows with one vec_id count as rows and share a component. A
-    null vec_id gets a null component and is kept. An empty table gives an empty result.
+    null vec_id gets a null component and is kept; other columns are ignored. An empty table gives an empty result.
 
-    Distinct vectors go to the cell of the nearest sampled vector, and cells are split by hash into tiles of
-    bounded size, so neither a hot cell nor a group of copies meets in one task. Pairs of cells whose
-    angles rule a link out are skipped; every other pair of tiles is one task, which returns a count for
-    each vector and a spanning forest, never the pairs.
+    Distinct vectors get a cell in each of several random partitions; two vectors at the threshold share none with
+    a probability below MISS, nearer ones hardly ever. Those of a cell are compared by int8 codes with its first vector, what
+    is then in different clusters with each other, in blocks. A cluster's vectors meet once, in pairs of tiles of bounded size,
+    each of which is one task that returns a count for each vector and a spanning forest, never the pairs.
     """
     scratch = scratch or Scratch(spark, "embedding-dedup")
     base = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
     seen = scratch.save(base.mapInArrow(_read, "vec_id long, digest binary, blob binary, dim int"))
-    sets = scratch.save(seen.where("digest is not null and vec_id is not null").groupBy("digest").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies"), F.first("blob").alias("blob"), F.first("dim").alias("dim")))
-    # one node may own several distinct vectors where rows repeat a vec_id
-    total = sets.count()
-    cells = int(np.clip(total // TILE, 1, MAX_CELLS))
-    sample = bounded_sample(sets, F.xxhash64("digest"), SAMPLE).select("dim", "blob").collect() if cells > 1 else []
-    centres: dict[int, np.ndarray] = {}
-    for d in {r.dim for r in sample}:
-        x = unit(np.stack([np.frombuffer(r.blob, np.float64) for r in sample if r.dim == d]))
-        picked = [0]
-        far = x @ x[0]
-        while len(picked) < min(cells, len(x)) and far.min() < 0.99:  # farthest first
-            picked.append(int(far.argmin()))
-            far = np.maximum(far, x @ x[picked[-1]])
-        centres[d] = x[picked]
-    sent = spark.sparkContext.broadcast(centres)  # MAX_CELLS vectors a dimension
+    sets = seen.where("digest is not null and vec_id is not null").groupBy("digest").agg(F.min("vec_id").alias("vec_id"), F.count(F.lit(1)).alias("copies"), F.first("blob").alias("blob"), F.first("dim").alias("dim"))
+    # nodes number distinct vectors, because rows may repeat a vec_id with other vectors
+    sets = scratch.save(sets.withColumn("node", F.monotonically_increasing_id()))
+    combine, count = partitions(sets.count())
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            cell, angle = np.zeros(b.num_rows, np.int32), np.full(b.num_rows, np.pi)
+        for b in small(batches):
             dims, blobs = b.column("dim").to_numpy(), b.column("blob").to_pylist()
             for d in np.unique(dims):
                 at = np.flatnonzero(dims == d)
-                if (c := sent.value.get(int(d))) is not None:
-                    g = unit(np.frombuffer(b"".join(blobs[i] for i in at), np.float64).reshape(len(at), d)) @ c.T
-                    cell[at] = g.argmax(1)
-                    angle[at] = np.arccos(np.clip(g.max(1), -1, 1))
-            yield pa.RecordBatch.from_arrays([b.column("digest"), b.column("node"), b.column("copies"), b.column("dim"), pa.array(cell), pa.array(angle), b.column("blob")], names=["digest", "node", "copies", "dim", "cell", "angle", "blob"])
-
-    placed = scratch.save(sets.select("digest", "node", "copies", "dim", "blob").mapInArrow(place, "digest binary, node long, copies long, dim int, cell int, angle double, blob binary"))
-    found = placed.groupBy("dim", "cell").agg(F.count(F.lit(1)).alias("n"), F.max("angle").alias("radius")).collect()  # at most MAX_CELLS a dimension
-    theta = np.arccos(least) + 1e-6
-    parts = {(r.dim, r.cell): -(-r.n // TILE) for r in found}
-    partners = []
-    for r in found:
-        near = []
-        for o in found:
-            if o.dim == r.dim:
-                if r.dim in centres:
-                    gap = np.arccos(np.clip(centres[r.dim][r.cell] @ centres[o.dim][o.cell], -1, 1))
-                    if gap - r.radius - o.radius > theta:
-                        continue
-                near += [(o.cell, k) for k in range(parts[o.dim, o.cell])]
-        partners.append((r.dim, r.cell, parts[r.dim, r.cell], near))
-    plan = spark.createDataFrame(partners, "dim int, cell int, parts long, near array<struct<cell:int,part:long>>")
-    me = F.struct("cell", F.pmod(F.xxhash64("digest"), F.col("parts")).alias("part"))
-    dealt = placed.join(F.broadcast(plan), ["dim", "cell"]).select("dim", me.alias("me"), F.explode("near").alias("other"), "node", "copies", "digest", "blob")
-    dealt = dealt.select("dim", F.least("me", "other").alias("p"), F.greatest("me", "other").alias("q"), (F.col("me") <= F.col("other")).alias("first"), "node", "copies", "digest", "blob")
+                x = unit(np.frombuffer(b"".join(blobs[i] for i in at), np.float64).reshape(len(at), d))
+                keys = pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1, dtype=np.int32) * count), pa.array(cells(x, combine, count).ravel()))
+                yield pa.RecordBatch.from_arrays([b.column("node").take(pa.array(at)), pa.array(dims[at].astype(np.int64)), keys, pa.array(Codes.pack(x), pa.binary())], names=["node", "n", "keys", "regs"])
+
+    placed = scratch.save(sets.select("node", "dim", "blob").mapInArrow(place, "node long, n long, keys array<long>, regs binary"))
+    codes = Codes(least)
+    clusters, few = loose_clusters(scratch, placed.select("node", F.explode("keys").alias("key")), placed.select("node", "n", "regs"), codes, codes)
+    blocks = clusters.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("long").alias("blocks"))
+    dealt = in_blocks(clusters.join(blocks, "component").join(sets.select("node", "copies", "blob"), "node"))
 
     def check(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        first = table.column("first").to_numpy(zero_copy_only=False)
-        x = np.frombuffer(b"".join(table.column("blob").to_pylist()), np.float64).reshape(len(first), -1)
+        side = table.column("side").to_numpy()
+        x = np.frombuffer(b"".join(table.column("blob").to_pylist()), np.float64).reshape(len(side), -1)
         copies, node = table.column("copies").to_numpy(), table.column("node").to_numpy()
-        n, label = np.zeros(len(first), np.int64), np.arange(len(first))
+        n, label = np.zeros(len(side), np.int64), np.arange(len(side))
         same = key[1].as_py() == key[2].as_py()
-        ia, ib = (np.arange(len(first)), None) if same else (np.flatnonzero(first), np.flatnonzero(~first))
-        if len(ia) and (same or len(ib)):
+        ia, ib = (np.arange(len(side)), None) if same else (np.flatnonzero(side == side.min()), np.flatnonzero(side != side.min()))
+        if same or len(ib):
             for a, b in tile_links(x[ia], None if same else x[ib], least):
                 a, b = ia[a], (ia if same else ib)[b]
                 np.add.at(n, a, copies[b])
                 np.add.at(n, b, copies[a])
                 label = merge(label, a, b)
         at = np.flatnonzero(n)
-        return pa.table({"digest": table.column("digest").take(pa.array(at)), "node": pa.array(node[at]), "n": pa.array(n[at]), "root": pa.array(node[label[at]])})
-
-    links = scratch.save(dealt.groupBy("dim", "p", "q").applyInArrow(check, "digest binary, node long, n long, root long"))
-    comp = components(links.select(F.col("node").alias("a"), F.col("root").alias("b")), scratch)
-    counts = links.groupBy("digest").agg(F.sum("n").alias("n"))
-    of_set = sets.join(counts, "digest", "left").join(comp, "node", "left").select("digest", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "node").alias("component"))
+        return pa.table({"node": pa.array(node[at]), "n": pa.array(n[at]), "root": pa.array(node[label[at]])})
+
+    links = scratch.save(dealt.select("component", "i", "j", "side", "node", "copies", "blob").groupBy("component", "i", "j").applyInArrow(check, "node long, n long, root long"))
+    # distinct vectors of one vec_id are one vertex
+    of_id = sets.select(F.col("node").alias("root"), F.col("vec_id").alias("other"))
+    ends = links.join(sets.select("node", "vec_id"), "node").join(of_id, "root").select(F.col("vec_id").alias("a"), F.col("other").alias("b"))
+    comp = components(ends, scratch).withColumnRenamed("node", "vec_id")
+    counts = links.groupBy("node").agg(F.sum("n").alias("n"))
+    of_set = sets.join(counts, "node", "left").join(comp, "vec_id", "left").select("digest", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "vec_id").alias("component"))
     of_set = scratch.save(of_set)
+    scratch.drop(placed, clusters, few, links)
     joined = seen.select("vec_id", "digest").join(of_set, "digest", "left")
     cid = F.when(F.col("vec_id").isNull(), F.lit(None)).otherwise(F.coalesce("component", "vec_id"))
     out = joined.select("vec_id", F.when(F.col("vec_id").isNull(), F.lit(0)).otherwise(F.coalesce("n_links", F.lit(0))).cast("long").alias("n_links"), cid.cast("long").alias("component_id"))

@@ -78,3 +78,28 @@ def test_bound_holds():
     true, code = x @ x.T, (q.astype(float) @ q.T.astype(float)) * np.outer(s, s)
     bound = np.outer(n, e) + np.outer(e, n) + np.outer(e, e)
     assert (np.abs(true - code) <= bound + 1e-12).all() and bound.max() < 0.1
+
+
+def test_no_more_than_a_few_pairs_in_a_million_share_no_cell():
+    """At the threshold, for the partitions of 200 and of 50,000 vectors."""
+    rng = np.random.default_rng(4)
+    for dim in (3, 8, 64, 200):
+        x = ed.unit(rng.normal(size=(4000, dim)))
+        r = rng.normal(size=x.shape)
+        r = ed.unit(r - (r * x).sum(axis=1, keepdims=True) * x)
+        y = 0.95 * x + np.sqrt(1 - 0.95**2) * r
+        for total in (200, 50_000):
+            a, b = (ed.cells(v, *ed.partitions(total)) for v in (x, y))
+            shared = (a == b).mean(axis=1)
+            assert shared.min() > 0 and abs(np.corrcoef((a == b)[:, :2].T)[0, 1]) < 0.2
+            assert shared.mean() >= ed.SHARED ** ed.partitions(total)[0]
+
+
+def test_codes_rule_out_no_pair_above_the_threshold():
+    rng = np.random.default_rng(6)
+    x = ed.unit(rng.normal(size=(300, 24)))
+    y = ed.unit(x + 0.07 * rng.normal(size=x.shape))
+    c = ed.Codes(0.95)
+    close = c.close(c.table(ed.Codes.pack(x)), c.table(ed.Codes.pack(y)), np.ones(300), np.ones(300))
+    true = (x * y).sum(axis=1) >= 0.95
+    assert (close >= true).all() and 0 < close.sum() < 300
