@@ -83,7 +83,7 @@ def across(table: pa.Table, compare: Registers) -> list[tuple[int, int]]:
     for i in np.flatnonzero(minor).tolist():
         js = rest[cluster[rest] != cluster[i]]
         if len(js):
-            js = js[compare.close(regs[i][None], regs[js], n[i : i + 1], n[js])]
+            js = js[compare.close(regs[i : i + 1], regs[js], n[i : i + 1], n[js])]
             for c in np.unique(cluster[js]).tolist():
                 links.append((int(names[cluster[i]]), int(names[c])))
                 cluster[cluster == c] = cluster[i]
@@ -115,17 +115,19 @@ def in_blocks(members: DataFrame) -> DataFrame:
     return dealt.withColumn("i", F.least("side", "other")).withColumn("j", F.greatest("side", "other"))
 
 
-def loose_clusters(scratch: Scratch, rows: DataFrame, sketches: DataFrame, hubs_by: Registers, others_by: Registers) -> tuple[DataFrame, DataFrame]:
+def loose_clusters(scratch: Scratch, rows: DataFrame, sketches: Callable[[DataFrame], DataFrame] | DataFrame, hubs_by: Registers, others_by: Registers, *, size: Column | None = None, bucket: int | None = None) -> tuple[DataFrame, DataFrame]:
     """``node, component`` of what may be similar, and ``node, n, regs`` of all that share a bucket.
 
     ``rows``: node LONG and key LONG, one for each band of each set, repeats allowed. ``sketches``: node, n LONG,
-    regs BINARY, repeats allowed.
+    regs BINARY, repeats allowed, or a function that gives them for a table of nodes. A block of a bucket holds
+    ``bucket`` members on average, or so much of the sums of ``size``.
     """
     hubs = rows.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("hi")).where("hub < hi").drop("hi")
     shared = scratch.save(rows.join(hubs, "key").select("key", "node", "hub").distinct())
     pairs = scratch.save(shared.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct())
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    few = scratch.save(sketches.join(wanted, "node").groupBy("node").agg(F.max("n").alias("n"), F.first("regs").alias("regs")))
+    given = sketches.join(wanted, "node") if isinstance(sketches, DataFrame) else sketches(scratch.save(wanted))
+    few = scratch.save(given.groupBy("node").agg(F.max("n").alias("n"), F.first("regs").alias("regs")))
     side = lambda x: few.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("regs").alias(f"r{x}"))
     loose = scratch.save(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(pair_filter(hubs_by), LINKS))
     clusters = scratch.save(components(loose, scratch))
@@ -136,7 +138,7 @@ def loose_clusters(scratch: Scratch, rows: DataFrame, sketches: DataFrame, hubs_
     sizes = others.groupBy("key", "component").agg(F.count(F.lit(1)).alias("m"))
     mixed = sizes.groupBy("key").agg(F.max_by("component", F.struct("m", "component")).alias("main"), F.count(F.lit(1)).alias("clusters")).where("clusters > 1").drop("clusters")
     others_of = others.join(mixed, "key").withColumn("minor", F.col("component") != F.col("main"))
-    met = against(others_of.join(few, "node"), "key", F.lit(1), BUCKET).select("key", "i", "j", "minor", "component", "n", "regs")
+    met = against(others_of.join(few, "node"), "key", F.lit(1) if size is None else size, bucket or BUCKET).select("key", "i", "j", "minor", "component", "n", "regs")
     more = scratch.save(met.groupBy("key", "i", "j").applyInArrow(lambda t: as_links(across(t, others_by)), LINKS))
     if not more.isEmpty():
         scratch.drop(clusters)
@@ -186,7 +188,7 @@ class Forest:
             js = np.fromiter((j for j in js.tolist() if find(up[j]) != mine), np.int64)
             if not len(js):
                 continue
-            for j in js[self.compare.close(regs[i][None], regs[js], n[i : i + 1], n[js])].tolist():
+            for j in js[self.compare.close(regs[i : i + 1], regs[js], n[i : i + 1], n[js])].tolist():
                 if (rj := find(up[j])) == (ri := find(up[i])):
                     continue
                 inter = len(full(i) & full(j))

@@ -72,6 +72,16 @@ def bands(regs: np.ndarray, rows: int, count: int) -> np.ndarray:
     return h.view(np.int64)
 
 
+def bands_of_rows(regs: np.ndarray, rows: int, count: int) -> np.ndarray:
+    """``bands`` of each row of a table of registers."""
+    r = regs[:, : rows * count].reshape(len(regs), count, rows).astype(np.uint64) + np.uint64(1)
+    h = np.tile(np.arange(1, count + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15), (len(regs), 1))
+    for i in range(rows):
+        h = (h ^ (r[:, :, i] * _BAND_MUL[i])) * np.uint64(0xD6E8FEB86659FD93)
+        h ^= h >> np.uint64(29)
+    return h.view(np.int64)
+
+
 def joint_estimate(r1: np.ndarray, r2: np.ndarray, n1: np.ndarray, n2: np.ndarray) -> np.ndarray:
     """Likeliest Jaccard similarity of pairs of SetSketches (a row each) with known set sizes.
 

@@ -12,156 +12,244 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import sketch
-from .lsh import similar
+from .lsh import Registers, loose_clusters
 from .store import Scratch
-from .words import mix, ngrams, small
-
-#: Paragraphs are lines of at least this many words; similar ones share a band of 3 of 48 registers with
-#: probability 0.9998 at a similarity of 0.75.
-PARAGRAPH, ROWS, BANDS = 30, 3, 16
-REGISTERS = ROWS * BANDS
-#: Units are sentences; those over LONG words are cut where a word's hash is 0 modulo CUT. Only units of at least
-#: UNIT words are compared, and a run of repeated units is removed from RUN words on.
-UNIT, LONG, CUT, RUN = 5, 40, 12, 25
-#: A run may bridge this many words that are not repeated.
-BRIDGE = 20
+from .words import WordHashes, mix, ngrams, small, word_hashes
+
+#: Paragraphs are lines of at least LINE words, and windows of WINDOW words that begin at anchors, wherever lines break.
+#: An anchor is the smallest three-word hash among ANCHOR successive ones, so a passage of WINDOW + ANCHOR + 1 = 50 words
+#: holds a whole window that begins at the same word in every document.
+LINE, WINDOW, ANCHOR = 30, 27, 22
+#: Registers of a band; bands of a line (two at 0.75 share one with probability 0.9986) and of a window (equal ones
+#: always do; others are found by their neighbours, too).
+ROWS, LINE_BANDS, WINDOW_BANDS = 3, 12, 2
+#: Paragraphs with a similarity of PART / WHOLE on SHINGLE words are linked.
+PART, WHOLE, SHINGLE = 75, 100, 5
+#: Passages with at most this many words between them become one.
+BRIDGE = 5
+#: Words before and after a paragraph in which a passage's true end is looked for.
+REACH = 30
+#: Shingles (each member counts 64 more) of a block of a bucket.
+BLOCK = 60_000
 #: Node ids are broadcast for the second read of the texts only up to this many.
-BROADCAST_IDS = 500_000
-GOLDEN = np.uint64(0x9E3779B97F4A7C15)
-
-
-class Marked(dict):
-    """Hash of each word, odd if the word ends a sentence; emptied when large."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= 200_000:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word) & ~1 | (word[-1] in b".!?")
-        return h
+BROADCAST_IDS = 125_000
+WORD = re.compile(r"[^ \t\n\x0b\x0c\r]+")
 
 
 class Text:
-    """A text's words, lines and units, by word numbers."""
+    """A text's words and paragraphs, by word numbers."""
 
-    def __init__(self, text: str | None, known: Marked):
+    def __init__(self, text: str | None, known: WordHashes):
         lines = [x.split() for x in (text or "").encode("utf-8", "surrogatepass").lower().split(b"\n")]
+        self.h = word_hashes([w for x in lines for w in x], known)
         size = np.array([len(x) for x in lines], np.int64)
-        n = int(size.sum())
-        self.h = np.fromiter((known[w] for x in lines for w in x), np.uint64, n)
         stop = np.cumsum(size)
-        filled = size > 0
-        self.line_start, self.line_stop = (stop - size)[filled], stop[filled]
-        begin = np.zeros(n + 1, bool)
-        begin[self.line_start] = True
-        begin[1:][(self.h & np.uint64(1)).astype(bool)] = True
-        begin[n] = True
-        edges = np.flatnonzero(begin)
-        if (np.diff(edges) > LONG).any():
-            inside = np.zeros(n, np.int64)
-            inside[edges[:-1]] = np.diff(edges)
-            size_here = np.maximum.accumulate(np.where(begin[:n], np.arange(n), 0))
-            over = inside[size_here] > LONG
-            begin[1:][over & (mix(self.h) % np.uint64(CUT) == 0)] = True
-            edges = np.flatnonzero(begin)
-        self.start, self.stop = edges[:-1], edges[1:]
-
-    def units(self) -> np.ndarray:
-        """Hash of each unit's word sequence."""
-        if not len(self.h):
-            return np.empty(0, np.uint64)
-        inside = (np.arange(len(self.h)) - np.repeat(self.start, self.stop - self.start)).astype(np.uint64)
-        return mix(np.add.reduceat(mix(self.h + inside * GOLDEN), self.start) + (self.stop - self.start).astype(np.uint64))
-
-    def paragraphs(self) -> tuple[np.ndarray, list[np.ndarray]]:
-        """Numbers of the long lines, and their distinct shingles."""
-        at = np.flatnonzero(self.line_stop - self.line_start >= PARAGRAPH)
-        g = ngrams(self.h, 5)
-        return at, [np.unique(g[a : b - 4]) for a, b in zip(self.line_start[at], self.line_stop[at])]
+        long = size >= LINE
+        lines_at = np.stack([(stop - size)[long], stop[long]])
+        windows_at = self.windows()
+        self.start, self.stop = np.concatenate([lines_at, windows_at], axis=1)
+        self.is_line = np.arange(len(self.start)) < lines_at.shape[1]
+
+    def windows(self) -> np.ndarray:
+        """Bounds of the windows; a text that has room for fewer than ANCHOR has one at its smallest hash."""
+        room = len(self.h) - WINDOW + 1
+        if room < 1:
+            return np.empty((2, 0), np.int64)
+        g = mix(ngrams(self.h, 3)[:room])
+        w = min(ANCHOR, room)
+        least = np.lib.stride_tricks.sliding_window_view(g, w).argmin(axis=1)  # of equals the first
+        at = np.unique(least + np.arange(len(least)))
+        if (g[at[1:]] == g[at[:-1]]).any():  # in words that repeat, whose windows are equal, some anchors do
+            kept = at[:1].tolist()
+            for i in at[1:].tolist():
+                if g[i] != g[kept[-1]] or i - kept[-1] >= ANCHOR:
+                    kept.append(i)
+            at = np.array(kept)
+        return np.stack([at, at + WINDOW])
+
+    def sets(self) -> list[np.ndarray]:
+        """Distinct shingles of each paragraph."""
+        g = ngrams(self.h, SHINGLE)
+        return [np.unique(g[a : b - SHINGLE + 1]) for a, b in zip(self.start, self.stop)]
 
 
 def set_id(sh: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(sh.tobytes()) - (1 << 63)
 
 
+SEEN = "doc_id long, start array<int>, stop array<int>, node array<long>, regs binary"
+
+
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each document: hashes of its units, and nodes, sizes and registers of its paragraphs."""
-    known = Marked()
+    """A row for each document with paragraphs: their bounds and nodes, and the registers of one after the other."""
+    known = WordHashes()
     for b in small(batches):
-        units, places, lines, nodes, sizes, regs = [], [], [], [], [], []
-        for t in b.column("text").to_pylist():
+        ids, starts, stops, nodes, regs = [], [], [], [], []
+        for i, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
             x = Text(t, known)
-            u = np.flatnonzero(x.stop - x.start >= UNIT)
-            units.append(x.units()[u].view(np.int64))
-            places.append(u.astype(np.int32))
-            at, sets = x.paragraphs()
-            lines.append(at.astype(np.int32))
+            if not len(x.start):
+                continue
+            sets = x.sets()
+            first = np.cumsum([0, *map(len, sets)])[:-1]
+            lines = int(x.is_line.sum())
+            flat = np.concatenate(sets)
+            cut = first[lines] if lines < len(sets) else len(flat)
+            r = [sketch.min_hash_segments(flat[:cut], first[:lines], ROWS * LINE_BANDS).tobytes()] if lines else []
+            if lines < len(sets):
+                r.append(sketch.min_hash_segments(flat[cut:], first[lines:] - cut, ROWS * WINDOW_BANDS).tobytes())
+            ids.append(i)
+            starts.append(x.start.astype(np.int32))
+            stops.append(x.stop.astype(np.int32))
             nodes.append([set_id(s) for s in sets])
-            sizes.append([len(s) for s in sets])
-            starts = np.cumsum([0, *(len(s) for s in sets)])[:-1]
-            r = sketch.min_hash_segments(np.concatenate(sets), starts, REGISTERS) if sets else ()
-            regs.append([x.tobytes() for x in r])
+            regs.append(b"".join(r))
         many = lambda x, kind: pa.array(x, pa.list_(kind))
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), many(places, pa.int32()), many(units, pa.int64()), many(lines, pa.int32()), many(nodes, pa.int64()), many(sizes, pa.int64()), many(regs, pa.binary())], names=["doc_id", "place", "unit", "line", "node", "n", "regs"])
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), many(starts, pa.int32()), many(stops, pa.int32()), many(nodes, pa.int64()), pa.array(regs, pa.binary())], names=["doc_id", "start", "stop", "node", "regs"])
 
 
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``node, key`` of each band of each paragraph; lines and windows share the first bands."""
     for b in small(batches):
-        keys = [sketch.bands(np.frombuffer(r, np.uint16), ROWS, BANDS) for r in b.column("regs").to_pylist()]
-        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(b.column("node").to_numpy(), BANDS)), pa.array(np.concatenate(keys) if keys else np.empty(0, np.int64))], names=["node", "key"])
-
-
-def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    known = Marked()
+        nodes, keys = [], []
+        for node, raw in zip(b.column("node").to_pylist(), b.column("regs").to_pylist()):
+            regs, n = np.frombuffer(raw, np.uint16), np.array(node, np.int64)
+            many, few = ROWS * LINE_BANDS, ROWS * WINDOW_BANDS
+            lines = (len(regs) - few * len(n)) // (many - few)
+            for part, r, bands in ((n[:lines], regs[: lines * many].reshape(lines, many), LINE_BANDS), (n[lines:], regs[lines * many :].reshape(-1, few), WINDOW_BANDS)):
+                if len(part):
+                    nodes.append(np.repeat(part, bands))
+                    keys.append(sketch.bands_of_rows(r, ROWS, bands).ravel())
+        cat = lambda x: np.concatenate(x) if x else np.empty(0, np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(cat(nodes)), pa.array(cat(keys))], names=["node", "key"])
+
+
+def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    known = WordHashes()
     for b in small(batches):
-        nodes, sh = [], []
+        nodes, n, sh = [], [], []
         for want, t in zip(b.column("wanted").to_pylist(), b.column("text").to_pylist()):
-            for s in Text(t, known).paragraphs()[1]:
+            want = set(want)
+            for s in Text(t, known).sets():
                 if (k := set_id(s)) in want:
+                    want.discard(k)
                     nodes.append(k)
+                    n.append(len(s))
                     sh.append(s.tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sh, pa.binary())], names=["node", "sh"])
+        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(n, pa.int64()), pa.array(sh, pa.binary())], names=["node", "n", "regs"])
+
+
+class FullSets(Registers):
+    """Exact comparison of paragraphs by their full sets."""
+
+    def __init__(self):
+        pass
+
+    def table(self, blobs: list[bytes]) -> np.ndarray:
+        out = np.empty(len(blobs), object)
+        for i, x in enumerate(blobs):
+            out[i] = frozenset(np.frombuffer(x, np.uint64).tolist())
+        return out
+
+    def close(self, x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray) -> np.ndarray:
+        ok = (WHOLE * ny >= PART * nx) & (WHOLE * nx >= PART * ny)
+        for i in np.flatnonzero(ok):
+            a, b = x[0] if len(x) == 1 else x[i], y[i]
+            both = len(a & b)
+            ok[i] = WHOLE * both >= PART * (len(a) + len(b) - both)
+        return ok
+
+
+# ---- from repeated paragraphs to passages -----------------------------------------------------------------
+
+RUN = "doc_id long, run int, first int, last int, kept long, left_kept long, left int, right_kept long, right int"
+
 
+def runs_of(hits: list[dict]) -> list[tuple[int, ...]]:
+    """``first, last, kept, left_kept, left, right_kept, right`` of each run of repeated paragraphs that touch each other:
+    its bounds, the smallest kept document, and where its first and its last paragraph begin and end in theirs."""
+    out: list[list[int]] = []
+    for h in sorted(hits, key=lambda h: (h["start"], -h["stop"], h["kept"])):
+        if out and h["start"] <= out[-1][1]:
+            out[-1][2] = min(out[-1][2], h["kept"])
+            if h["stop"] > out[-1][1]:
+                out[-1][1], out[-1][5], out[-1][6] = h["stop"], h["kept"], h["kept_stop"]
+        else:
+            out.append([h["start"], h["stop"], h["kept"], h["kept"], h["kept_start"], h["kept"], h["kept_stop"]])
+    return [tuple(r) for r in out]
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = [x.split()[0] for x in RUN.split(", ")]
+    kinds = [{"long": pa.int64(), "int": pa.int32()}[x.split()[1]] for x in RUN.split(", ")]
+    for b in batches:
+        rows = [(i, k, *r) for i, hits in zip(b.column("doc_id").to_pylist(), b.column("hits").to_pylist()) for k, r in enumerate(runs_of(hits))]
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows) if rows else [[]] * len(names), kinds)], names=names)
 
-def removals(text: Text, units: dict[int, int], lines: dict[int, int]) -> list[tuple[int, int, int]]:
+
+def _context(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The words around the wanted places of kept documents, as they follow in the text."""
+    known = WordHashes()
+    for b in small(batches):
+        docs, places, words = [], [], []
+        for i, want, t in zip(b.column("doc_id").to_pylist(), b.column("wanted").to_pylist(), b.column("text").to_pylist()):
+            h = word_hashes((t or "").encode("utf-8", "surrogatepass").lower().split(), known)
+            for p in want:
+                docs.append(i)
+                places.append(p)
+                words.append(h[max(0, p - REACH) : p + REACH].tobytes())
+        yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(places, pa.int32()), pa.array(words, pa.binary())], names=["doc_id", "place", "words"])
+
+
+def true_end(h: np.ndarray, place: int, words: bytes | None, step: int) -> int:
+    """The word bound at which what a text shares with its kept document around ``place`` begins (step -1) or ends (1).
+
+    A word is shared if it stands in a run of SHINGLE words that the kept document has around its own place. At most half
+    a window of the paragraph itself is given up.
+    """
+    if words is None:
+        return place
+    lo = max(0, place - REACH)
+    part = h[lo : place + REACH]
+    at = np.flatnonzero(np.isin(ngrams(part, SHINGLE), ngrams(np.frombuffer(words, np.uint64), SHINGLE)))
+    shared = np.zeros(len(part) + 1, bool)
+    for k in range(SHINGLE):
+        shared[at + k] = True
+    inside, end = (place - lo, -1) if step < 0 else (place - lo - 1, len(part))
+    for _ in range(WINDOW // 2):  # back into the paragraph
+        if 0 <= inside < len(part) and not shared[inside]:
+            inside -= step
+    if not (0 <= inside < len(part) and shared[inside]):
+        return place
+    while inside + step != end and shared[inside + step]:
+        inside += step
+    return lo + (inside if step < 0 else inside + 1)
+
+
+def removals(text: str, known: WordHashes, runs: list[dict]) -> list[tuple[int, int, int]]:
     """``first word, end, kept document`` of the passages to remove, in order and apart from each other."""
-    spans = [(int(text.line_start[i]), int(text.line_stop[i]), k) for i, k in lines.items()]
-    run: list[int] = []
-
-    def close() -> None:
-        if run:
-            words = sum(int(text.stop[u] - text.start[u]) for u in run)
-            if words >= RUN:
-                spans.append((int(text.start[run[0]]), int(text.stop[run[-1]]), units[run[0]]))
-        run.clear()
-
-    for u in sorted(units):
-        if run and text.start[u] - text.stop[run[-1]] > BRIDGE:
-            close()
-        run.append(u)
-    close()
+    h = word_hashes(text.encode("utf-8", "surrogatepass").lower().split(), known)
     out: list[tuple[int, int, int]] = []
-    for a, b, k in sorted(spans):
-        if out and a <= out[-1][1]:
+    for r in sorted(runs, key=lambda r: r["run"]):
+        if r["last"] > len(h):  # a repeated doc_id brings marks of another text
+            continue
+        a, b = true_end(h, r["first"], r["left_words"], -1), true_end(h, r["last"], r["right_words"], 1)
+        if out and a <= out[-1][1] + BRIDGE:
             out[-1] = (out[-1][0], max(b, out[-1][1]), out[-1][2])
         else:
-            out.append((a, b, k))
+            out.append((a, b, r["kept"]))
     return out
 
 
-WORD = re.compile(r"[^ \t\n\x0b\x0c\r]+")
+SPANS = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64()), ("n_words", pa.int64()), ("kept_doc_id", pa.int64())]))
+SPANS_SQL = "array<struct<start:bigint,length:bigint,n_words:bigint,kept_doc_id:bigint>>"
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spans in code points of what is removed from each text with marks."""
-    known = Marked()
+    """Spans in code points of what is removed from each text with runs."""
+    known = WordHashes()
     for b in small(batches):
         out = []
-        for t, place, unit_kept, line, line_kept in zip(*(b.column(c).to_pylist() for c in ("text", "place", "place_kept", "line", "line_kept"))):
-            x = Text(t, known)
-            # a repeated doc_id brings marks of another text: numbers past the end are none of this one
-            units = {u: k for u, k in zip(place, unit_kept) if u < len(x.start)}
-            lines = {i: k for i, k in zip(line, line_kept) if i < len(x.line_start)}
-            found = removals(x, units, lines)
+        for t, runs in zip(b.column("text").to_pylist(), b.column("runs").to_pylist()):
+            found = removals(t or "", known, runs)
             if found:
                 at = [m.span() for m in WORD.finditer(t)]
                 found = [{"start": at[a][0], "length": at[e - 1][1] - at[a][0], "n_words": e - a, "kept_doc_id": k} for a, e, k in found]
@@ -169,15 +257,9 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(out, SPANS)], names=["row", "spans"])
 
 
-SPANS = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64()), ("n_words", pa.int64()), ("kept_doc_id", pa.int64())]))
-SPANS_SQL = "array<struct<start:bigint,length:bigint,n_words:bigint,kept_doc_id:bigint>>"
-
-
-def cut_text(t: str, marks: dict, known: Marked) -> str:
-    """The text without the passages that its marks make up."""
-    x = Text(t, known)
-    units = {u: k for u, k in zip(marks["place"], marks["place_kept"]) if u < len(x.start)}
-    spans = removals(x, units, {i: k for i, k in zip(marks["line"], marks["line_kept"]) if i < len(x.line_start)})
+def cut_text(t: str, runs: list[dict], known: WordHashes) -> str:
+    """The text without the passages that its runs make up."""
+    spans = removals(t, known, runs)
     if not spans:
         return t
     at = [w.span() for w in WORD.finditer(t)]
@@ -189,49 +271,59 @@ def cut_text(t: str, marks: dict, known: Marked) -> str:
 
 
 def marked(spark: SparkSession, docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """``doc_id, place, place_kept, line, line_kept`` of each document with repeated units or paragraphs."""
+    """``doc_id, runs`` of each document with paragraphs that an earlier one has."""
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null")
-    seen = scratch.save(base.mapInArrow(_scan, "doc_id long, place array<int>, unit array<long>, line array<int>, node array<long>, n array<long>, regs array<binary>"))
-    units = seen.select("doc_id", F.explode(F.arrays_zip("place", "unit")).alias("x")).select("doc_id", "x.place", "x.unit")
-    repeated = units.groupBy("unit").agg(F.min("doc_id").alias("kept"), F.max("doc_id").alias("last")).where("kept < last").drop("last")
-    hits = units.join(repeated, "unit").where("doc_id <> kept").select("doc_id", F.lit(True).alias("is_unit"), F.col("place").alias("at"), "kept")
-
-    paragraphs = seen.select("doc_id", F.explode(F.arrays_zip("line", "node", "n", "regs")).alias("x")).select("doc_id", "x.line", "x.node", "x.n", "x.regs")
-    where = paragraphs.select("node", "doc_id")
-
-    def packed(nodes: DataFrame) -> DataFrame:
-        home = where.join(nodes, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id")).groupBy("doc_id").agg(F.collect_list("node").alias("wanted"))
-        home = scratch.save(home)
-        small = F.broadcast(home) if home.count() <= BROADCAST_IDS // 4 else home
-        return base.join(small, "doc_id").select("wanted", "text").mapInArrow(_pack, "node long, sh binary").dropDuplicates(["node"])
-
-    linked = similar(scratch, paragraphs.select("node", "regs").mapInArrow(_bands, "node long, key long"), paragraphs.select("node", "n", "regs"), packed, estimate=sketch.plain_estimate, slack=0.25)
-    in_class = scratch.save(paragraphs.select("doc_id", "line", "node").join(linked, "node", "left").select("doc_id", "line", F.coalesce("component", "node").alias("component")))
-    first = in_class.groupBy("component").agg(F.min("doc_id").alias("kept"), F.max("doc_id").alias("last")).where("kept < last").drop("last")
-    near = in_class.join(first, "component").where("doc_id <> kept").select("doc_id", F.lit(False).alias("is_unit"), F.col("line").alias("at"), "kept")
-    both = hits.unionByName(near).groupBy("doc_id").agg(F.collect_list(F.struct("is_unit", "at", "kept")).alias("x"))
-    of = lambda cond, field: F.transform(F.filter("x", cond), lambda m: m[field])
-    unit, line = (lambda m: m["is_unit"]), (lambda m: ~m["is_unit"])
-    out = scratch.save(both.select("doc_id", of(unit, "at").alias("place"), of(unit, "kept").alias("place_kept"), of(line, "at").alias("line"), of(line, "kept").alias("line_kept")))
-    scratch.drop(seen)
+    seen = scratch.save(base.mapInArrow(_scan, SEEN))
+    paragraphs = seen.select("doc_id", F.explode(F.arrays_zip("start", "stop", "node")).alias("x")).select("doc_id", "x.start", "x.stop", "x.node")
+
+    def texts_of(ids: DataFrame) -> DataFrame:
+        """``ids`` (doc_id and more) with the documents' texts."""
+        ids = scratch.save(ids)
+        return base.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id")
+
+    def sets(wanted: DataFrame) -> DataFrame:
+        home = paragraphs.select("node", "doc_id").join(wanted, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id")).groupBy("doc_id").agg(F.collect_list("node").alias("wanted"))
+        return texts_of(home).select("wanted", "text").mapInArrow(_full_sets, "node long, n long, regs binary")
+
+    exact = FullSets()
+    clusters, few = loose_clusters(scratch, seen.select("node", "regs").mapInArrow(_bands, "node long, key long"), sets, exact, exact, size=F.col("n") + 64, bucket=BLOCK)
+    in_class = paragraphs.join(clusters, "node", "left").select("doc_id", "start", "stop", F.coalesce("component", "node").alias("component"))
+    in_class = scratch.save(in_class)
+    scratch.drop(seen, clusters, few)
+    first = in_class.groupBy("component").agg(F.min(F.struct("doc_id", "start", "stop")).alias("k"), F.max("doc_id").alias("last")).where("k.doc_id < last")
+    hits = in_class.join(first, "component").where("doc_id <> k.doc_id").groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop", F.col("k.doc_id").alias("kept"), F.col("k.start").alias("kept_start"), F.col("k.stop").alias("kept_stop"))).alias("hits"))
+    runs = scratch.save(hits.mapInArrow(_runs, RUN))
+    scratch.drop(in_class)
+
+    places = runs.select(F.explode(F.array(F.struct(F.col("left_kept").alias("doc_id"), F.col("left").alias("place")), F.struct(F.col("right_kept").alias("doc_id"), F.col("right").alias("place")))).alias("x")).select("x.doc_id", "x.place")
+    wanted = places.distinct().groupBy("doc_id").agg(F.collect_list("place").alias("wanted"))
+    # rows that share a kept doc_id give a place several times; one text's words do
+    context = texts_of(wanted).select("doc_id", "wanted", "text").mapInArrow(_context, "doc_id long, place int, words binary").groupBy("doc_id", "place").agg(F.max("words").alias("words"))
+    context = scratch.save(context)
+    end = lambda doc, place, name: context.select(F.col("doc_id").alias(doc), F.col("place").alias(place), F.col("words").alias(name))
+    whole = runs.join(end("left_kept", "left", "left_words"), ["left_kept", "left"], "left").join(end("right_kept", "right", "right_words"), ["right_kept", "right"], "left")
+    out = scratch.save(whole.groupBy("doc_id").agg(F.collect_list(F.struct("run", "first", "last", "kept", "left_words", "right_words")).alias("runs")))
+    scratch.drop(runs, context)
     return out
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """``doc_id, start, length, n_words, kept_doc_id`` of each passage that repeats an earlier document's.
 
-    ``docs`` has doc_id and text; other columns are ignored. A paragraph (a line of at least 30 words) is
-    removed if it belongs to a class of paragraphs linked by a Jaccard similarity of at least 0.75 on five-word
-    shingles (checked on full sets) that a document with a smaller id also has. So is a run of at least 25
-    words of sentences (or pieces of very long ones) that each stand word for word in a document with a smaller
-    id; short gaps are bridged. What only repeats inside one document stays, as does each passage's first
-    document. ``start`` and ``length`` count code points. Null and empty texts and null ids lose
-    nothing; rows with one doc_id count as one document; an empty table gives an empty result.
+    ``docs`` has doc_id and text; other columns are ignored. Paragraphs are lines of at least 30 words and anchored
+    windows of 27 words, so that any passage of 50 words or more holds one at the same place in all documents, wherever
+    it begins. Those that share a MinHash band are compared on full sets of five-word shingles, linked from a Jaccard
+    similarity of 0.75, and joined to components. A paragraph goes if its component has a document with a smaller
+    id; paragraphs that touch are one passage, whose ends are moved to where what is shared with the kept
+    document ends. What only repeats inside one document stays, as does each passage's first document; shorter
+    repeats than 27 words stay. ``start`` and ``length`` count code points. Null and empty texts and null ids lose nothing;
+    rows with one doc_id count as one document; very long texts have as many paragraphs as they need; an empty table
+    gives an empty result.
     """
     scratch = scratch or Scratch(spark, "substring-dedup")
     marks = marked(spark, docs, scratch)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(marks, "doc_id")
-    cut = rows.select(F.col("doc_id").alias("row"), "text", "place", "place_kept", "line", "line_kept").mapInArrow(_cut, f"row long, spans {SPANS_SQL}")
+    cut = rows.select(F.col("doc_id").alias("row"), "text", "runs").mapInArrow(_cut, f"row long, spans {SPANS_SQL}")
     return cut.select(F.col("row").alias("doc_id"), F.inline("spans"))
 
 
@@ -240,15 +332,15 @@ def without_passages(spark: SparkSession, docs: DataFrame, scratch: Scratch | No
     scratch = scratch or Scratch(spark, "substring-dedup")
     marks = marked(spark, docs, scratch)
     names = docs.columns
-    m = marks.select(F.col("doc_id").alias("_id"), F.struct("place", "place_kept", "line", "line_kept").alias("_marks"))
+    m = marks.select(F.col("doc_id").alias("_id"), F.col("runs").alias("_runs"))
     rows = docs.withColumn("text", F.col("text").cast("string")).join(m, F.col("doc_id").cast("long") == F.col("_id"), "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Marked()
+        known = WordHashes()
         for b in small(batches):
-            marks, texts = b.column("_marks").to_pylist(), b.column("text").to_pylist()
+            runs, texts = b.column("_runs").to_pylist(), b.column("text").to_pylist()
             keep = []
-            for r, (t, m) in enumerate(zip(texts, marks)):
+            for r, (t, m) in enumerate(zip(texts, runs)):
                 if m is not None and t is not None:
                     texts[r] = t = cut_text(t, m, known)
                 if m is None or t is None or WORD.search(t):
@@ -256,4 +348,4 @@ def without_passages(spark: SparkSession, docs: DataFrame, scratch: Scratch | No
             out = [pa.array(texts, b.column("text").type) if n == "text" else b.column(n) for n in names]
             yield pa.RecordBatch.from_arrays(out, names=names).take(pa.array(keep, pa.int64()))
 
-    return rows.select(*names, "_marks").mapInArrow(cut, docs.schema)
+    return rows.select(*names, "_runs").mapInArrow(cut, docs.schema)
