@@ -10,12 +10,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a temporary one is set only where none is configured (tests)."""
+    """The session's checkpoint folder; a temporary one is set only where none is configured and all runs on one machine."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         kept = spark.sparkContext.getCheckpointDir()
         if kept:
             return kept
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="folioforge-")
         spark.sparkContext.setCheckpointDir(path)
     return path
