@@ -1,7 +1,9 @@
 """The corpus pipeline: quality, near-duplicates, repeated passages, benchmark passages, packing.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of
-documents.
+documents. Rows with a null doc_id are never copies of others and lose no passages; null and empty texts pass to the
+last stage, which packs them as one token; rows that repeat a doc_id are judged alike and stay together; columns
+beside doc_id, lang and text are carried along (n_chars follows the text); empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -45,16 +47,14 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality", quality), ("near_dedup", near_dedup), ("substring_dedup", substring_dedup), ("decontamination", decontamination), ("packing", packing)]
 
-#: SQL has no sketches, language models or tokenizers; tests hold each stage against a brute-force version.
+#: SQL has no sketches, language models or tokenizers; each stage's operator is tested against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each but the last written and read again."""
     docs, kept = queries.table(spark, sf_dir, "documents"), Scratch(spark, "pipeline")
-    for k, (_, stage) in enumerate(STAGES):
-        out = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            out = kept.save(out)
-        docs = out
-    return docs
+    for _, stage in STAGES[:-1]:
+        before, docs = docs, kept.save(stage(spark, docs, sf_dir))
+        kept.drop(before)
+    return STAGES[-1][1](spark, docs, sf_dir)
