@@ -20,9 +20,10 @@ from .words import WordHashes, mix, ngrams, small, word_hashes
 #: An anchor is the smallest three-word hash among ANCHOR successive ones, so a passage of WINDOW + ANCHOR + 1 = 50 words
 #: holds a whole window that begins at the same word in every document.
 LINE, WINDOW, ANCHOR = 30, 27, 22
-#: Registers of a band; bands of a line (two at 0.75 share one with probability 0.9986) and of a window (equal ones
-#: always do; others are found by their neighbours, too).
-ROWS, LINE_BANDS, WINDOW_BANDS = 3, 12, 2
+#: Rows and bands of a line (two at 0.75 share one with probability 0.9986) and of a window (equal ones always do; one
+#: that holds an edit is bridged by its neighbours, and more bands would only join windows of one text that overlap).
+LINE_ROWS, LINE_BANDS = 3, 12
+WINDOW_ROWS, WINDOW_BANDS = 6, 1
 #: Paragraphs with a similarity of PART / WHOLE on SHINGLE words are linked.
 PART, WHOLE, SHINGLE = 75, 100, 5
 #: Passages with at most this many words between them become one.
@@ -77,11 +78,11 @@ def set_id(sh: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(sh.tobytes()) - (1 << 63)
 
 
-SEEN = "doc_id long, start array<int>, stop array<int>, node array<long>, regs binary"
+SEEN = "doc_id long, start array<int>, stop array<int>, node array<long>, regs array<binary>"
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each document with paragraphs: their bounds and nodes, and the registers of one after the other."""
+    """A row for each document with paragraphs: their bounds, nodes and registers."""
     known = WordHashes()
     for b in small(batches):
         ids, starts, stops, nodes, regs = [], [], [], [], []
@@ -90,36 +91,32 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not len(x.start):
                 continue
             sets = x.sets()
-            first = np.cumsum([0, *map(len, sets)])[:-1]
             lines = int(x.is_line.sum())
-            flat = np.concatenate(sets)
-            cut = first[lines] if lines < len(sets) else len(flat)
-            r = [sketch.min_hash_segments(flat[:cut], first[:lines], ROWS * LINE_BANDS).tobytes()] if lines else []
-            if lines < len(sets):
-                r.append(sketch.min_hash_segments(flat[cut:], first[lines:] - cut, ROWS * WINDOW_BANDS).tobytes())
+            r: list[bytes] = []
+            for part, m in ((sets[:lines], LINE_ROWS * LINE_BANDS), (sets[lines:], WINDOW_ROWS * WINDOW_BANDS)):
+                if part:
+                    table = sketch.min_hash_segments(np.concatenate(part), np.cumsum([0, *map(len, part)])[:-1], m)
+                    r += [row.tobytes() for row in table]
             ids.append(i)
             starts.append(x.start.astype(np.int32))
             stops.append(x.stop.astype(np.int32))
             nodes.append([set_id(s) for s in sets])
-            regs.append(b"".join(r))
+            regs.append(r)
         many = lambda x, kind: pa.array(x, pa.list_(kind))
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), many(starts, pa.int32()), many(stops, pa.int32()), many(nodes, pa.int64()), pa.array(regs, pa.binary())], names=["doc_id", "start", "stop", "node", "regs"])
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), many(starts, pa.int32()), many(stops, pa.int32()), many(nodes, pa.int64()), many(regs, pa.binary())], names=["doc_id", "start", "stop", "node", "regs"])
 
 
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``node, key`` of each band of each paragraph; lines and windows share the first bands."""
-    for b in small(batches):
-        nodes, keys = [], []
-        for node, raw in zip(b.column("node").to_pylist(), b.column("regs").to_pylist()):
-            regs, n = np.frombuffer(raw, np.uint16), np.array(node, np.int64)
-            many, few = ROWS * LINE_BANDS, ROWS * WINDOW_BANDS
-            lines = (len(regs) - few * len(n)) // (many - few)
-            for part, r, bands in ((n[:lines], regs[: lines * many].reshape(lines, many), LINE_BANDS), (n[lines:], regs[lines * many :].reshape(-1, few), WINDOW_BANDS)):
-                if len(part):
-                    nodes.append(np.repeat(part, bands))
-                    keys.append(sketch.bands_of_rows(r, ROWS, bands).ravel())
-        cat = lambda x: np.concatenate(x) if x else np.empty(0, np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(cat(nodes)), pa.array(cat(keys))], names=["node", "key"])
+    """``node, key`` of each band of each distinct paragraph."""
+    for b in batches:
+        node, regs = b.column("node").to_numpy(), b.column("regs").to_pylist()
+        size = np.fromiter(map(len, regs), np.int64, len(regs))
+        for rows, bands in ((LINE_ROWS, LINE_BANDS), (WINDOW_ROWS, WINDOW_BANDS)):
+            at = np.flatnonzero(size == 2 * rows * bands)
+            if len(at):
+                r = np.frombuffer(b"".join(regs[i] for i in at), np.uint16).reshape(len(at), -1)
+                keys = sketch.bands_of_rows(r, rows, bands).ravel()
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(node[at], bands)), pa.array(keys)], names=["node", "key"])
 
 
 def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -275,6 +272,8 @@ def marked(spark: SparkSession, docs: DataFrame, scratch: Scratch) -> DataFrame:
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null")
     seen = scratch.save(base.mapInArrow(_scan, SEEN))
     paragraphs = seen.select("doc_id", F.explode(F.arrays_zip("start", "stop", "node")).alias("x")).select("doc_id", "x.start", "x.stop", "x.node")
+    # equal paragraphs are one node, however many documents have them; a line and a window of equal shingles keep the longer registers
+    distinct = seen.select(F.explode(F.arrays_zip("node", "regs")).alias("x")).select("x.node", "x.regs").groupBy("node").agg(F.max_by("regs", F.length("regs")).alias("regs"))
 
     def texts_of(ids: DataFrame) -> DataFrame:
         """``ids`` (doc_id and more) with the documents' texts."""
@@ -286,7 +285,7 @@ def marked(spark: SparkSession, docs: DataFrame, scratch: Scratch) -> DataFrame:
         return texts_of(home).select("wanted", "text").mapInArrow(_full_sets, "node long, n long, regs binary")
 
     exact = FullSets()
-    clusters, few = loose_clusters(scratch, seen.select("node", "regs").mapInArrow(_bands, "node long, key long"), sets, exact, exact, size=F.col("n") + 64, bucket=BLOCK)
+    clusters, few = loose_clusters(scratch, distinct.mapInArrow(_bands, "node long, key long"), sets, exact, exact, size=F.col("n") + 64, bucket=BLOCK)
     in_class = paragraphs.join(clusters, "node", "left").select("doc_id", "start", "stop", F.coalesce("component", "node").alias("component"))
     in_class = scratch.save(in_class)
     scratch.drop(seen, clusters, few)
