@@ -7,7 +7,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,6 +48,7 @@ class Text:
         lines_at = np.stack([(stop - size)[long], stop[long]])
         windows_at = self.windows()
         self.start, self.stop = np.concatenate([lines_at, windows_at], axis=1)
+        self.g = ngrams(self.h, SHINGLE)
         self.is_line = np.arange(len(self.start)) < lines_at.shape[1]
 
     def windows(self) -> np.ndarray:
@@ -69,13 +69,29 @@ class Text:
         return np.stack([at, at + WINDOW])
 
     def sets(self) -> list[np.ndarray]:
-        """Distinct shingles of each paragraph."""
-        g = ngrams(self.h, SHINGLE)
-        return [np.unique(g[a : b - SHINGLE + 1]) for a, b in zip(self.start, self.stop)]
-
-
-def set_id(sh: np.ndarray) -> int:
-    return xxhash.xxh3_64_intdigest(sh.tobytes()) - (1 << 63)
+        """Shingles of each paragraph."""
+        return [self.set_of(i) for i in range(len(self.start))]
+
+    def set_of(self, i: int) -> np.ndarray:
+        return np.unique(self.g[self.start[i] : self.stop[i] - SHINGLE + 1])
+
+    def nodes(self) -> np.ndarray:
+        """A 64-bit number for each paragraph's shingles: equal for equal paragraphs."""
+        size = self.stop - self.start - SHINGLE + 1
+        mixed = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(self.g + np.uint64(1)))])  # sums wrap around
+        return mix(mixed[self.start + size] - mixed[self.start] + size.astype(np.uint64)).view(np.int64)
+
+    def registers(self) -> list[bytes]:
+        """MinHash registers of each paragraph: of lines, then of windows."""
+        out: list[bytes] = []
+        lines = int(self.is_line.sum())
+        for part, m in ((slice(0, lines), LINE_ROWS * LINE_BANDS), (slice(lines, None), WINDOW_ROWS * WINDOW_BANDS)):
+            start, size = self.start[part], self.stop[part] - self.start[part] - SHINGLE + 1
+            if len(start):
+                first = np.cumsum(size) - size
+                flat = self.g[np.repeat(start - first, size) + np.arange(size.sum())]
+                out += [row.tobytes() for row in sketch.min_hash_segments(flat, first, m)]
+        return out
 
 
 SEEN = "doc_id long, start array<int>, stop array<int>, node array<long>, regs array<binary>"
@@ -90,18 +106,11 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             x = Text(t, known)
             if not len(x.start):
                 continue
-            sets = x.sets()
-            lines = int(x.is_line.sum())
-            r: list[bytes] = []
-            for part, m in ((sets[:lines], LINE_ROWS * LINE_BANDS), (sets[lines:], WINDOW_ROWS * WINDOW_BANDS)):
-                if part:
-                    table = sketch.min_hash_segments(np.concatenate(part), np.cumsum([0, *map(len, part)])[:-1], m)
-                    r += [row.tobytes() for row in table]
             ids.append(i)
             starts.append(x.start.astype(np.int32))
             stops.append(x.stop.astype(np.int32))
-            nodes.append([set_id(s) for s in sets])
-            regs.append(r)
+            nodes.append(x.nodes())
+            regs.append(x.registers())
         many = lambda x, kind: pa.array(x, pa.list_(kind))
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), many(starts, pa.int32()), many(stops, pa.int32()), many(nodes, pa.int64()), many(regs, pa.binary())], names=["doc_id", "start", "stop", "node", "regs"])
 
@@ -124,13 +133,13 @@ def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in small(batches):
         nodes, n, sh = [], [], []
         for want, t in zip(b.column("wanted").to_pylist(), b.column("text").to_pylist()):
-            want = set(want)
-            for s in Text(t, known).sets():
-                if (k := set_id(s)) in want:
-                    want.discard(k)
-                    nodes.append(k)
-                    n.append(len(s))
-                    sh.append(s.tobytes())
+            x = Text(t, known)
+            found, first = np.unique(x.nodes(), return_index=True)
+            for k in np.flatnonzero(np.isin(found, np.array(want, np.int64))).tolist():
+                s = x.set_of(first[k])
+                nodes.append(int(found[k]))
+                n.append(len(s))
+                sh.append(s.tobytes())
         yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(n, pa.int64()), pa.array(sh, pa.binary())], names=["node", "n", "regs"])
 
 
