@@ -125,12 +125,16 @@ def loose_clusters(scratch: Scratch, rows: DataFrame, sketches: Callable[[DataFr
     rows = rows.repartition("key")  # dealt once, for the aggregate and for the join
     hubs = rows.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("hi")).where("hub < hi").drop("hi")
     shared = scratch.save(rows.join(hubs, "key").select("key", "node", "hub"))
+    scratch.drop()  # shuffle files of all bands
     pairs = scratch.save(shared.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct())
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    given = sketches.join(wanted, "node") if isinstance(sketches, DataFrame) else sketches(scratch.save(wanted))
+    wanted = wanted if isinstance(sketches, DataFrame) else scratch.save(wanted)
+    given = sketches.join(wanted, "node") if isinstance(sketches, DataFrame) else sketches(wanted)
     few = scratch.save(given.groupBy("node").agg(F.max("n").alias("n"), F.first("regs").alias("regs")))
+    scratch.drop(wanted)
     side = lambda x: few.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("regs").alias(f"r{x}"))
     loose = scratch.save(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(pair_filter(hubs_by), LINKS))
+    scratch.drop(pairs)
     clusters = scratch.save(components(loose, scratch))
 
     # the hub is compared with every member, so only the others can have met no one; most are in the main cluster
@@ -144,7 +148,7 @@ def loose_clusters(scratch: Scratch, rows: DataFrame, sketches: Callable[[DataFr
     if not more.isEmpty():
         scratch.drop(clusters)
         clusters = scratch.save(components(loose.unionByName(more), scratch))
-    scratch.drop(pairs, shared, others, loose, more)
+    scratch.drop(shared, others, loose, more)
     return clusters, few
 
 
