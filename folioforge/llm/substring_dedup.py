@@ -81,27 +81,35 @@ class Text:
         mixed = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(self.g + np.uint64(1)))])  # sums wrap around
         return mix(mixed[self.start + size] - mixed[self.start] + size.astype(np.uint64)).view(np.int64)
 
-    def registers(self) -> list[bytes]:
-        """MinHash registers of each paragraph: of lines, then of windows."""
-        out: list[bytes] = []
+    def keys(self) -> tuple[np.ndarray, np.ndarray]:
+        """The keys of all bands of the paragraphs in their order, and how many each paragraph has."""
         lines = int(self.is_line.sum())
-        for part, m in ((slice(0, lines), LINE_ROWS * LINE_BANDS), (slice(lines, None), WINDOW_ROWS * WINDOW_BANDS)):
+        keys = [np.empty(0, np.int64)]
+        for part, rows, bands in ((slice(0, lines), LINE_ROWS, LINE_BANDS), (slice(lines, None), WINDOW_ROWS, WINDOW_BANDS)):
             start, size = self.start[part], self.stop[part] - self.start[part] - SHINGLE + 1
             if len(start):
                 first = np.cumsum(size) - size
                 flat = self.g[np.repeat(start - first, size) + np.arange(size.sum())]
-                out += [row.tobytes() for row in sketch.min_hash_segments(flat, first, m)]
-        return out
+                keys.append(sketch.bands_of_rows(sketch.min_hash_segments(flat, first, rows * bands), rows, bands).ravel())
+        return np.concatenate(keys), np.where(self.is_line, LINE_BANDS, WINDOW_BANDS)
+
+
+SEEN = "doc_id long, start array<int>, stop array<int>, node array<long>, keys array<array<long>>"
 
 
-SEEN = "doc_id long, start array<int>, stop array<int>, node array<long>, regs array<binary>"
+def nested(parts: list[np.ndarray], sizes: list[np.ndarray]) -> pa.Array:
+    """A list of lists for each part; ``sizes`` are those of its inner lists."""
+    ends = lambda n: pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32))
+    values = np.concatenate([np.empty(0, np.int64), *parts])
+    inner = pa.ListArray.from_arrays(ends(np.concatenate([np.empty(0, np.int64), *sizes])), pa.array(values))
+    return pa.ListArray.from_arrays(ends([len(x) for x in sizes]), inner)
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each document with paragraphs: their bounds, nodes and registers."""
+    """A row for each document with paragraphs: their bounds, nodes and band keys."""
     known = WordHashes()
     for b in small(batches):
-        ids, starts, stops, nodes, regs = [], [], [], [], []
+        ids, starts, stops, nodes, keys, sizes = [], [], [], [], [], []
         for i, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
             x = Text(t, known)
             if not len(x.start):
@@ -110,22 +118,11 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             starts.append(x.start.astype(np.int32))
             stops.append(x.stop.astype(np.int32))
             nodes.append(x.nodes())
-            regs.append(x.registers())
+            k, n = x.keys()
+            keys.append(k)
+            sizes.append(n)
         many = lambda x, kind: pa.array(x, pa.list_(kind))
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), many(starts, pa.int32()), many(stops, pa.int32()), many(nodes, pa.int64()), many(regs, pa.binary())], names=["doc_id", "start", "stop", "node", "regs"])
-
-
-def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``node, key`` of each band of each distinct paragraph."""
-    for b in batches:
-        node, regs = b.column("node").to_numpy(), b.column("regs").to_pylist()
-        size = np.fromiter(map(len, regs), np.int64, len(regs))
-        for rows, bands in ((LINE_ROWS, LINE_BANDS), (WINDOW_ROWS, WINDOW_BANDS)):
-            at = np.flatnonzero(size == 2 * rows * bands)
-            if len(at):
-                r = np.frombuffer(b"".join(regs[i] for i in at), np.uint16).reshape(len(at), -1)
-                keys = sketch.bands_of_rows(r, rows, bands).ravel()
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(node[at], bands)), pa.array(keys)], names=["node", "key"])
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), many(starts, pa.int32()), many(stops, pa.int32()), many(nodes, pa.int64()), nested(keys, sizes)], names=["doc_id", "start", "stop", "node", "keys"])
 
 
 def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,23 +278,24 @@ def marked(spark: SparkSession, docs: DataFrame, scratch: Scratch) -> DataFrame:
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null")
     seen = scratch.save(base.mapInArrow(_scan, SEEN))
     paragraphs = seen.select("doc_id", F.explode(F.arrays_zip("start", "stop", "node")).alias("x")).select("doc_id", "x.start", "x.stop", "x.node")
-    # equal paragraphs are one node, however many documents have them; a line and a window of equal shingles keep the longer registers
-    distinct = seen.select(F.explode(F.arrays_zip("node", "regs")).alias("x")).select("x.node", "x.regs").groupBy("node").agg(F.max_by("regs", F.length("regs")).alias("regs"))
+    # equal paragraphs are one node, however many documents have them
+    bands = seen.select(F.explode(F.arrays_zip("node", "keys")).alias("x")).select("x.node", F.explode("x.keys").alias("key")).distinct()
 
     def texts_of(ids: DataFrame) -> DataFrame:
         """``ids`` (doc_id and more) with the documents' texts."""
         ids = scratch.save(ids)
+        made.append(ids)
         return base.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id")
 
     def sets(wanted: DataFrame) -> DataFrame:
         home = paragraphs.select("node", "doc_id").join(wanted, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id")).groupBy("doc_id").agg(F.collect_list("node").alias("wanted"))
         return texts_of(home).select("wanted", "text").mapInArrow(_full_sets, "node long, n long, regs binary")
 
-    exact = FullSets()
-    clusters, few = loose_clusters(scratch, distinct.mapInArrow(_bands, "node long, key long"), sets, exact, exact, size=F.col("n") + 64, bucket=BLOCK)
+    exact, made = FullSets(), []
+    clusters, few = loose_clusters(scratch, bands, sets, exact, exact, size=F.col("n") + 64, bucket=BLOCK)
     in_class = paragraphs.join(clusters, "node", "left").select("doc_id", "start", "stop", F.coalesce("component", "node").alias("component"))
     in_class = scratch.save(in_class)
-    scratch.drop(seen, clusters, few)
+    scratch.drop(seen, clusters, few, *made)
     first = in_class.groupBy("component").agg(F.min(F.struct("doc_id", "start", "stop")).alias("k"), F.max("doc_id").alias("last")).where("k.doc_id < last")
     hits = in_class.join(first, "component").where("doc_id <> k.doc_id").groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop", F.col("k.doc_id").alias("kept"), F.col("k.start").alias("kept_start"), F.col("k.stop").alias("kept_stop"))).alias("hits"))
     runs = scratch.save(hits.mapInArrow(_runs, RUN))
@@ -311,7 +309,7 @@ def marked(spark: SparkSession, docs: DataFrame, scratch: Scratch) -> DataFrame:
     end = lambda doc, place, name: context.select(F.col("doc_id").alias(doc), F.col("place").alias(place), F.col("words").alias(name))
     whole = runs.join(end("left_kept", "left", "left_words"), ["left_kept", "left"], "left").join(end("right_kept", "right", "right_words"), ["right_kept", "right"], "left")
     out = scratch.save(whole.groupBy("doc_id").agg(F.collect_list(F.struct("run", "first", "last", "kept", "left_words", "right_words")).alias("runs")))
-    scratch.drop(runs, context)
+    scratch.drop(runs, context, *made)
     return out
 
 
