@@ -118,16 +118,17 @@ def in_blocks(members: DataFrame) -> DataFrame:
 def loose_clusters(scratch: Scratch, rows: DataFrame, sketches: Callable[[DataFrame], DataFrame] | DataFrame, hubs_by: Registers, others_by: Registers, *, size: Column | None = None, bucket: int | None = None) -> tuple[DataFrame, DataFrame]:
     """``node, component`` of what may be similar, and ``node, n, regs`` of all that share a bucket.
 
-    ``rows``: node LONG and key LONG, one for each band of each set. ``sketches``: node, n LONG, regs BINARY, repeats
-    allowed, or a function that gives them for a table of nodes. A block of a bucket holds
+    ``rows``: node LONG and key LONG, one for each band of each set, and at will home LONG, a document that has the
+    node. ``sketches``: node, n LONG, regs BINARY, repeats allowed, or a function that gives them for a table of nodes
+    (with the smallest home of each). A block of a bucket holds
     ``bucket`` members on average, or so much of the sums of ``size``.
     """
     rows = rows.repartition("key")  # dealt once, for the aggregate and for the join
     hubs = rows.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("hi")).where("hub < hi").drop("hi")
-    shared = scratch.save(rows.join(hubs, "key").select("key", "node", "hub"))
+    shared = scratch.save(rows.join(hubs, "key").select("node", "key", *rows.columns[2:], "hub"))
     scratch.drop()  # shuffle files of all bands
     pairs = scratch.save(shared.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct())
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = shared.groupBy("node").agg(F.min("home").alias("home")) if "home" in rows.columns else shared.select("node").distinct()
     wanted = wanted if isinstance(sketches, DataFrame) else scratch.save(wanted)
     given = sketches.join(wanted, "node") if isinstance(sketches, DataFrame) else sketches(wanted)
     few = scratch.save(given.groupBy("node").agg(F.max("n").alias("n"), F.first("regs").alias("regs")))

@@ -279,7 +279,7 @@ def marked(spark: SparkSession, docs: DataFrame, scratch: Scratch) -> DataFrame:
     seen = scratch.save(base.mapInArrow(_scan, SEEN))
     paragraphs = seen.select("doc_id", F.explode(F.arrays_zip("start", "stop", "node")).alias("x")).select("doc_id", "x.start", "x.stop", "x.node")
     # equal paragraphs are one node, however many documents have them
-    bands = seen.select(F.explode(F.arrays_zip("node", "keys")).alias("x")).select("x.node", F.explode("x.keys").alias("key")).distinct()
+    bands = seen.select("doc_id", F.explode(F.arrays_zip("node", "keys")).alias("x")).select("doc_id", "x.node", F.explode("x.keys").alias("key")).groupBy("node", "key").agg(F.min("doc_id").alias("home"))
 
     def texts_of(ids: DataFrame) -> DataFrame:
         """``ids`` (doc_id and more) with the documents' texts."""
@@ -288,18 +288,21 @@ def marked(spark: SparkSession, docs: DataFrame, scratch: Scratch) -> DataFrame:
         return base.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id")
 
     def sets(wanted: DataFrame) -> DataFrame:
-        home = paragraphs.select("node", "doc_id").join(wanted, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id")).groupBy("doc_id").agg(F.collect_list("node").alias("wanted"))
+        home = wanted.groupBy(F.col("home").alias("doc_id")).agg(F.collect_list("node").alias("wanted"))
         return texts_of(home).select("wanted", "text").mapInArrow(_full_sets, "node long, n long, regs binary")
 
     exact, made = FullSets(), []
     clusters, few = loose_clusters(scratch, bands, sets, exact, exact, size=F.col("n") + 64, bucket=BLOCK)
+    scratch.drop(few, *made)
     in_class = paragraphs.join(clusters, "node", "left").select("doc_id", "start", "stop", F.coalesce("component", "node").alias("component"))
     in_class = scratch.save(in_class)
-    scratch.drop(seen, clusters, few, *made)
+    scratch.drop(seen, clusters)
     first = in_class.groupBy("component").agg(F.min(F.struct("doc_id", "start", "stop")).alias("k"), F.max("doc_id").alias("last")).where("k.doc_id < last")
+    first = scratch.save(first)
+    scratch.drop()  # shuffle files of all components
     hits = in_class.join(first, "component").where("doc_id <> k.doc_id").groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop", F.col("k.doc_id").alias("kept"), F.col("k.start").alias("kept_start"), F.col("k.stop").alias("kept_stop"))).alias("hits"))
     runs = scratch.save(hits.mapInArrow(_runs, RUN))
-    scratch.drop(in_class)
+    scratch.drop(in_class, first)
 
     places = runs.select(F.explode(F.array(F.struct(F.col("left_kept").alias("doc_id"), F.col("left").alias("place")), F.struct(F.col("right_kept").alias("doc_id"), F.col("right").alias("place")))).alias("x")).select("x.doc_id", "x.place")
     wanted = places.distinct().groupBy("doc_id").agg(F.collect_list("place").alias("wanted"))
