@@ -124,8 +124,9 @@ def loose_clusters(scratch: Scratch, rows: DataFrame, sketches: Callable[[DataFr
     ``bucket`` members on average, or so much of the sums of ``size``.
     """
     rows = rows.repartition("key")  # dealt once, for the aggregate and for the join
-    hubs = rows.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("hi")).where("hub < hi").drop("hi")
-    shared = scratch.save(rows.join(hubs, "key").select("node", "key", *rows.columns[2:], "hub"))
+    homes = [F.min(c).alias(f"least_{c}") for c in rows.columns[2:]]  # kept, as both must read the same columns to share the exchange
+    hubs = rows.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("hi"), *homes).where("hub < hi").drop("hi")
+    shared = scratch.save(rows.join(hubs, "key"))
     scratch.drop()  # shuffle files of all bands
     pairs = scratch.save(shared.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct())
     wanted = shared.groupBy("node").agg(F.min("home").alias("home")) if "home" in rows.columns else shared.select("node").distinct()
