@@ -13,8 +13,9 @@ from pyspark.sql import types as T
 
 from .store import Scratch
 
-#: Symbols: a-z, a digit, a space, twelve marks, LETTERS classes of other letters, any other character, the text's
-#: bounds, the sign before a capital letter, and the sign for a word that repeats the one before.
+#: Symbols: a-z, the sign before a digit, a space, twelve marks, LETTERS first symbols of other characters, the sign before
+#: other printable ASCII and before what is rare, the text's bounds, the sign before a capital letter, and the sign for a
+#: word that repeats the one before.
 MARKS, LETTERS = ".,'-!?:;()\"|", 20
 DIGIT, SPACE, LETTER = 26, 27, 40
 OTHER, BOUND, CAPITAL, REPEAT, SIZE = (LETTER + LETTERS + k for k in range(5))
@@ -29,41 +30,71 @@ PRIOR = 60
 QUANTILE = 0.999
 #: Labelled ids are broadcast only up to this many.
 BROADCAST_IDS = 2_000_000
-REPEATED = "\x04"
+#: Stands for a repeated word; no stored text has half of a surrogate pair.
+REPEATED = "\udfff"
+#: Of the LETTERS first symbols so many begin two symbols, the next so many three, and the last one four.
+TWO, THREE = 17, 2
+#: Symbols that can follow a first one, the longest code with its capital sign, and what fills up shorter ones.
+NEXT, LONGEST, NONE = LETTER + LETTERS, 5, 255
+ASCII_REST = "#$%&*+/<=>@[\\]^_`{}~"
+
+
+def digits(n: int, k: int) -> tuple[int, ...]:
+    return tuple(n // NEXT**i % NEXT for i in reversed(range(k)))
+
+
+@functools.lru_cache(1 << 16)
+def code(cp: int) -> tuple[int, ...]:
+    """The symbols of a code point: no two have the same, and none begins with another's."""
+    c = chr(cp)
+    if "a" <= c <= "z":
+        return (cp - 97,)
+    if c in MARKS:
+        return (28 + MARKS.index(c),)
+    if "0" <= c <= "9":
+        return (DIGIT, LETTER + int(c))
+    if c == " ":
+        return (SPACE,)
+    if c == REPEATED:
+        return (REPEAT,)
+    if c in ASCII_REST:
+        return (OTHER, LETTER + ASCII_REST.index(c))
+    low = c.lower()
+    if len(low) == 1 and low != c and low.upper() == c:
+        return (CAPITAL, *code(ord(low)))
+    n = cp - 0x80
+    if n >= 0:
+        for first, many, k in ((0, TWO, 1), (TWO, THREE, 2), (TWO + THREE, LETTERS - TWO - THREE, 3)):
+            if n < many * NEXT**k:
+                return (LETTER + first + n // NEXT**k, *digits(n, k))
+            n -= many * NEXT**k
+    return (OTHER, cp // NEXT**3, *digits(cp, 3))  # the second is below LETTER, unlike those of ASCII_REST
 
 
 @functools.cache
-def classes() -> tuple[np.ndarray, np.ndarray]:
-    """For each code point below U+3000 its symbol, and whether it is a capital letter; letters outside a-z, and all
-    code points from U+3000 on, fall into classes by number."""
-    sym, cap = np.full(0x3000, OTHER, np.uint8), np.zeros(0x3000, bool)
-    for cp in range(0x3000):
-        c = chr(cp)
-        low = c.lower()[0]
-        if c.isalpha():
-            cap[cp] = c != low
-            sym[cp] = ord(low) - 97 if "a" <= low <= "z" else LETTER + ord(low) % LETTERS
-        elif c.isdigit():
-            sym[cp] = DIGIT
-        elif c in MARKS:
-            sym[cp] = 28 + MARKS.index(c)
-    sym[32], sym[4] = SPACE, REPEAT
-    return sym, cap
+def codes() -> tuple[np.ndarray, np.ndarray]:
+    """For each code point below U+10000 its symbols, filled up with NONE, and their number."""
+    sym = np.full((0x10000, LONGEST), NONE, np.uint8)
+    for cp in range(0x10000):
+        x = code.__wrapped__(cp)
+        sym[cp, : len(x)] = x
+    return sym, (sym != NONE).sum(axis=1)
 
 
 def symbols(text: str | None) -> np.ndarray:
-    """The text's symbols between three bounds and one."""
-    sym, cap = classes()
+    """The text's symbols between three bounds and one. Only kinds and lengths of white space, and repeated words, are not
+    told apart."""
+    sym, size = codes()
     words = text.split() if text else []
     if any(map(str.__eq__, words, words[1:])):
         words = words[:1] + [REPEATED if a == b else b for a, b in zip(words, words[1:])]
     joined = " ".join(words).replace(" " + REPEATED, REPEATED)
     cps = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-    inside = np.minimum(cps, 0x2FFF)
-    s, up = np.where(cps < 0x3000, sym[inside], LETTER + cps % LETTERS).astype(np.uint8), cap[inside]
-    if up.any():
-        at = np.flatnonzero(up)
-        s = np.insert(s, at, CAPITAL)
+    if cps.max(initial=0) < 0x10000:
+        s = sym[:, : size[cps].max(initial=1)][cps]
+        s = s[s != NONE]
+    else:
+        s = np.array([x for cp in cps.tolist() for x in code(cp)], np.uint8)
     return np.concatenate([np.full(ORDER - 1, BOUND, np.uint8), s, np.full(1, BOUND, np.uint8)])
 
 
@@ -144,7 +175,8 @@ def judge(spark: SparkSession, docs: DataFrame, labels: DataFrame, scratch: Scra
     ``labels`` has doc_id and quality. A character model of order 4 is trained for each language on all rows
     labelled with quality 1, by interpolated modified Kneser-Ney smoothing; rows of languages without such rows, and
     with a null language, use the model of all languages together. A word that repeats the one before is one
-    special symbol, so that runs of copies are as unlikely as they are in trusted text. The perplexity is
+    special symbol, so that runs of copies are as unlikely as they are in trusted text; all characters are told apart, rare
+    ones by several symbols. The perplexity is
     a symbol's geometric mean, drawn to the language's mean for short texts; a row is accepted if it is at most
     the language's quantile of trusted texts (equal ones pass). Null and empty texts are judged by their bounds alone;
     very long texts are judged whole; repeated rows are judged alike. Without any trusted text all rows are

@@ -63,6 +63,25 @@ def test_symbols():
     assert symbols("A a a").tolist()[3:-1] == [quality.CAPITAL, 0, quality.SPACE, 0, quality.REPEAT]
 
 
+def test_no_two_characters_share_symbols():
+    every = [c for c in map(chr, [*range(0x3100), *range(0x4E00, 0xA000, 7), *range(0x10000, 0x110000, 997)]) if not c.isspace()]
+    found = {tuple(symbols(c).tolist()) for c in every}
+    assert len(found) == len(every) and all(max(x) < SIZE for x in found)
+    assert symbols("4я漢%").tolist()[3:-1] == [x for c in "4я漢%" for x in symbols(c).tolist()[3:-1]]
+    assert symbols("é😀é").tolist()[3:-1] == [x for c in "é😀é" for x in symbols(c).tolist()[3:-1]]
+    assert symbols("\x04 a").tolist() != symbols("a a").tolist()
+
+
+def test_letters_that_shared_a_class_are_told_apart(spark):
+    """Trusted text of one half of the alphabet, and junk of the letters that stand LETTERS code points on."""
+    rng = np.random.default_rng(3)
+    text = lambda first: "".join(map(chr, first + rng.integers(0, 12, 400)))
+    rows = [(i, "zh", text(0x4E00)) for i in range(40)] + [(100 + i, "zh", text(0x4E00 + quality.LETTERS)) for i in range(5)]
+    labels = spark.createDataFrame([(i, 1) for i in range(30)], "doc_id long, quality int")
+    got = {r.doc_id: r for r in judge(spark, spark.createDataFrame(rows, "doc_id long, lang string, text string"), labels).collect()}
+    assert not any(got[100 + i].accepted for i in range(5)) and min(got[100 + i].perplexity for i in range(5)) > 1.5 * max(got[i].perplexity for i in range(40))
+
+
 def test_junk_is_rejected_and_trusted_text_kept(spark, sf_dir):
     docs, labels = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     got = {r.doc_id: r.accepted for r in judge(spark, docs, labels).collect()}
