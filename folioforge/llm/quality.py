@@ -28,7 +28,7 @@ GROUP = 6_000_000
 PRIOR = 60
 #: The share of trusted texts of a language that pass.
 QUANTILE = 0.999
-#: Labelled ids are broadcast only up to this many.
+#: Labelled ids, and languages, are broadcast only up to this many.
 BROADCAST_IDS = 2_000_000
 #: Stands for a repeated word; no stored text has half of a surrogate pair.
 REPEATED = "\udfff"
@@ -168,8 +168,13 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total[at] = 0
 
 
-def judge(spark: SparkSession, docs: DataFrame, labels: DataFrame, scratch: Scratch | None = None) -> DataFrame:
-    """The rows of ``docs`` with ``perplexity``, ``threshold`` and ``accepted`` added.
+def few(df: DataFrame) -> DataFrame:
+    """``df`` as the side of a join that is sent to all tasks, if it is small, so that the other side is not dealt."""
+    return F.broadcast(df) if df.count() <= BROADCAST_IDS else df
+
+
+def judge(spark: SparkSession, docs: DataFrame, labels: DataFrame, scratch: Scratch | None = None, *, keep: list[str] | None = None) -> DataFrame:
+    """The rows of ``docs`` (of its columns those in ``keep``, if given) with ``perplexity``, ``threshold`` and ``accepted`` added.
 
     ``docs`` has doc_id, lang, text and any other columns (one named like an added column is replaced);
     ``labels`` has doc_id and quality. A character model of order 4 is trained for each language on all rows
@@ -187,28 +192,31 @@ def judge(spark: SparkSession, docs: DataFrame, labels: DataFrame, scratch: Scra
     """
     scratch = scratch or Scratch(spark, "quality")
     docs = docs.drop("perplexity", "threshold", "accepted")
+    keep = [c for c in docs.columns if keep is None or c in keep]
     ids = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("long").alias("_id")).distinct().withColumn("_trusted", F.lit(True))
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
     text, lang = F.col("text").cast("string"), F.coalesce(F.col("lang").cast("string"), F.lit(POOLED))
-    row = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("_id"), lang.alias("lang"), text.alias("text"))
-    marked = row.join(ids, "_id", "left").select("row", "lang", "text", F.col("_trusted").isNotNull().alias("trusted"))
+    # a text is dealt once: it is put back among the other columns after it was read
+    plain = ("text", "string") in docs.dtypes
+    rest = F.struct(F.col("doc_id"), *[F.col(c) for c in keep if c != "doc_id" and not (plain and c == "text")])
+    row = docs.select(rest.alias("row"), F.col("doc_id").cast("long").alias("_id"), lang.alias("lang"), text.alias("text"))
+    marked = row.join(few(ids), "_id", "left").select("row", "lang", "text", F.col("_trusted").isNotNull().alias("trusted"))
     counted = scratch.save(marked.where("trusted").select("lang", "text").mapInArrow(_counts, "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     own = counted.where(F.col("lang") != POOLED)
     counts = own.unionByName(counted.groupBy("gram").agg(F.sum("n").alias("n")).select(F.lit(POOLED).alias("lang"), "gram", "n")).withColumnRenamed("lang", "model")
 
     known = own.select("lang").distinct().withColumn("model", F.col("lang"))
-    judged = marked.join(known, "lang", "left").withColumn("model", F.coalesce("model", F.lit(POOLED))).drop("lang")
+    judged = marked.join(few(known), "lang", "left").withColumn("model", F.coalesce("model", F.lit(POOLED))).drop("lang")
     groups = judged.groupBy("model").agg(F.ceil(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 200) / GROUP).cast("long").alias("groups"))
     groups = scratch.save(groups)
-    dealt = judged.join(groups, "model").withColumn("part", F.pmod(F.xxhash64("row.doc_id", "text"), F.col("groups"))).drop("groups")
-    copies = counts.join(groups, "model").select("model", F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1)).alias("part"), "gram", "n")
-    schema = T.StructType([dealt.schema["row"], dealt.schema["trusted"], dealt.schema["model"], T.StructField("cost", T.DoubleType())])
+    dealt = judged.join(few(groups), "model").withColumn("part", F.pmod(F.xxhash64("row.doc_id", "text"), F.col("groups"))).drop("groups")
+    copies = counts.join(few(groups), "model").select("model", F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1)).alias("part"), "gram", "n")
+    again = ["row", "trusted", "model", *(["text"] if plain and "text" in keep else [])]
+    schema = T.StructType([*[dealt.schema[c] for c in again], T.StructField("cost", T.DoubleType())])
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         model = Model(right.column("gram").to_numpy(), right.column("n").to_numpy())
         cost = [model.costs(left.column("text").slice(s, 2000).to_pylist()) for s in range(0, left.num_rows, 2000)]
-        out = left.select(["row", "trusted", "model"])
+        out = left.select(again)
         return out.append_column("cost", pa.array(np.concatenate(cost) if cost else np.empty(0)))
 
     scored = dealt.groupBy("model", "part").cogroup(copies.groupBy("model", "part")).applyInArrow(lambda a, b: score(a, b), schema)
@@ -216,5 +224,6 @@ def judge(spark: SparkSession, docs: DataFrame, labels: DataFrame, scratch: Scra
     cuts = scored.where("trusted").groupBy("model").agg(F.expr(f"percentile_approx(cost, {QUANTILE}, 20000)").alias("cut"))
     cuts = scratch.save(cuts)
     everyone = cuts.agg(F.max("cut")).head()[0]
-    out = scored.join(cuts, "model", "left").select("row.*", F.exp("cost").alias("perplexity"), F.exp(F.coalesce("cut", F.lit(everyone).cast("double"))).alias("threshold"))
+    columns = [F.col("text") if plain and c == "text" else F.col("row")[c].alias(c) for c in keep]
+    out = scored.join(few(cuts), "model", "left").select(*columns, F.exp("cost").alias("perplexity"), F.exp(F.coalesce("cut", F.lit(everyone).cast("double"))).alias("threshold"))
     return out.withColumn("accepted", F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True)))

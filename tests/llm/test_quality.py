@@ -82,6 +82,26 @@ def test_letters_that_shared_a_class_are_told_apart(spark):
     assert not any(got[100 + i].accepted for i in range(5)) and min(got[100 + i].perplexity for i in range(5)) > 1.5 * max(got[i].perplexity for i in range(40))
 
 
+def shuffled(spark):
+    sc = spark.sparkContext
+    sc._jsc.sc().listenerBus().waitUntilEmpty()
+    found = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), sc._jvm.java.util.ArrayList())
+    return sum(found.apply(i).shuffleWriteBytes() for i in range(found.size()))
+
+
+def test_texts_are_dealt_once(spark, tmp_path):
+    """Texts that do not compress: what is written to be dealt is little more than they are."""
+    rng = np.random.default_rng(4)
+    rows = [(i, "en", "".join(map(chr, rng.integers(33, 127, 20_000)))) for i in range(200)]
+    spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(4).write.parquet(str(tmp_path / "d"))
+    docs, labels = spark.read.parquet(str(tmp_path / "d")), spark.createDataFrame([(i, 1) for i in range(5)], "doc_id long, quality int")
+    before = shuffled(spark)
+    out = judge(spark, docs, labels)
+    assert out.count() == 200
+    assert 200 * 20_000 < shuffled(spark) - before < 1.8 * 200 * 20_000
+    assert out.select("doc_id", "lang", "text").exceptAll(docs).isEmpty()
+
+
 def test_junk_is_rejected_and_trusted_text_kept(spark, sf_dir):
     docs, labels = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     got = {r.doc_id: r.accepted for r in judge(spark, docs, labels).collect()}
