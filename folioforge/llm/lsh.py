@@ -14,7 +14,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import sketch
@@ -119,14 +119,13 @@ def loose_clusters(scratch: Scratch, rows: DataFrame, sketches: Callable[[DataFr
     """``node, component`` of what may be similar, and ``node, n, regs`` of all that share a bucket.
 
     ``rows``: node LONG and key LONG, one for each band of each set, and at will home LONG, a document that has the
-    node. ``sketches``: node, n LONG, regs BINARY, repeats allowed, or a function that gives them for a table of nodes
+    node; rows with a home may repeat node and key. ``sketches``: node, n LONG, regs BINARY, repeats allowed, or a function that gives them for a table of nodes
     (with the smallest home of each). A block of a bucket holds
     ``bucket`` members on average, or so much of the sums of ``size``.
     """
-    rows = rows.repartition("key")  # dealt once, for the aggregate and for the join
-    homes = [F.min(c).alias(f"least_{c}") for c in rows.columns[2:]]  # kept, as both must read the same columns to share the exchange
-    hubs = rows.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("hi"), *homes).where("hub < hi").drop("hi")
-    shared = scratch.save(rows.join(hubs, "key"))
+    whole = Window.partitionBy("key")  # all rows are dealt once
+    met = rows.withColumn("hub", F.min("node").over(whole)).withColumn("hi", F.max("node").over(whole)).where("hub < hi").drop("hi")
+    shared = scratch.save(met.groupBy("key", "hub", "node").agg(F.min("home").alias("home")) if "home" in rows.columns else met)
     scratch.drop()  # shuffle files of all bands
     pairs = scratch.save(shared.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct())
     wanted = shared.groupBy("node").agg(F.min("home").alias("home")) if "home" in rows.columns else shared.select("node").distinct()

@@ -31,6 +31,8 @@ BRIDGE = 5
 REACH = 30
 #: Shingles (each member counts 64 more) of a block of a bucket.
 BLOCK = 60_000
+#: A task gives the bands of a paragraph once, as long as it remembers it: twice this many at most.
+REMEMBERED = 200_000
 #: Node ids are broadcast for the second read of the texts only up to this many.
 BROADCAST_IDS = 125_000
 WORD = re.compile(r"[^ \t\n\x0b\x0c\r]+")
@@ -81,17 +83,34 @@ class Text:
         mixed = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(self.g + np.uint64(1)))])  # sums wrap around
         return mix(mixed[self.start + size] - mixed[self.start] + size.astype(np.uint64)).view(np.int64)
 
-    def keys(self) -> tuple[np.ndarray, np.ndarray]:
-        """The keys of all bands of the paragraphs in their order, and how many each paragraph has."""
-        lines = int(self.is_line.sum())
+    def keys(self, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The keys of all bands of the (wanted) paragraphs in their order, and how many each paragraph has."""
+        wanted = np.ones(len(self.start), bool) if wanted is None else wanted
         keys = [np.empty(0, np.int64)]
-        for part, rows, bands in ((slice(0, lines), LINE_ROWS, LINE_BANDS), (slice(lines, None), WINDOW_ROWS, WINDOW_BANDS)):
+        for part, rows, bands in ((wanted & self.is_line, LINE_ROWS, LINE_BANDS), (wanted & ~self.is_line, WINDOW_ROWS, WINDOW_BANDS)):
             start, size = self.start[part], self.stop[part] - self.start[part] - SHINGLE + 1
             if len(start):
                 first = np.cumsum(size) - size
                 flat = self.g[np.repeat(start - first, size) + np.arange(size.sum())]
                 keys.append(sketch.bands_of_rows(sketch.min_hash_segments(flat, first, rows * bands), rows, bands).ravel())
-        return np.concatenate(keys), np.where(self.is_line, LINE_BANDS, WINDOW_BANDS)
+        return np.concatenate(keys), np.where(wanted, np.where(self.is_line, LINE_BANDS, WINDOW_BANDS), 0)
+
+
+class Remembered:
+    """Tells which numbers come for the first time; of old ones only those that come again are kept for sure."""
+
+    def __init__(self, limit: int):
+        self.limit, self.old, self.new = limit, set(), set()
+
+    def fresh(self, numbers: list[int]) -> np.ndarray:
+        out = np.zeros(len(numbers), bool)
+        for i, x in enumerate(numbers):
+            if x not in self.new:
+                out[i] = x not in self.old
+                if len(self.new) >= self.limit:
+                    self.old, self.new = self.new, set()
+                self.new.add(x)
+        return out
 
 
 SEEN = "doc_id long, start array<int>, stop array<int>, node array<long>, keys array<array<long>>"
@@ -106,8 +125,8 @@ def nested(parts: list[np.ndarray], sizes: list[np.ndarray]) -> pa.Array:
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each document with paragraphs: their bounds, nodes and band keys."""
-    known = WordHashes()
+    """A row for each document with paragraphs: their bounds, nodes and band keys, those of equal ones once."""
+    known, met = WordHashes(), Remembered(REMEMBERED)
     for b in small(batches):
         ids, starts, stops, nodes, keys, sizes = [], [], [], [], [], []
         for i, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
@@ -118,7 +137,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             starts.append(x.start.astype(np.int32))
             stops.append(x.stop.astype(np.int32))
             nodes.append(x.nodes())
-            k, n = x.keys()
+            k, n = x.keys(met.fresh(nodes[-1].tolist()))
             keys.append(k)
             sizes.append(n)
         many = lambda x, kind: pa.array(x, pa.list_(kind))
@@ -277,9 +296,8 @@ def marked(spark: SparkSession, docs: DataFrame, scratch: Scratch) -> DataFrame:
     """``doc_id, runs`` of each document with paragraphs that an earlier one has."""
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null")
     seen = scratch.save(base.mapInArrow(_scan, SEEN))
-    paragraphs = seen.select("doc_id", F.explode(F.arrays_zip("start", "stop", "node")).alias("x")).select("doc_id", "x.start", "x.stop", "x.node")
-    # equal paragraphs are one node, however many documents have them
-    bands = seen.select("doc_id", F.explode(F.arrays_zip("node", "keys")).alias("x")).select("doc_id", "x.node", F.explode("x.keys").alias("key")).groupBy("node", "key").agg(F.min("doc_id").alias("home"))
+    # equal paragraphs are one node, however many documents have them; each task gives it about once
+    bands = seen.select("doc_id", F.explode(F.arrays_zip("node", "keys")).alias("x")).select("x.node", F.explode("x.keys").alias("key"), F.col("doc_id").alias("home"))
 
     def texts_of(ids: DataFrame) -> DataFrame:
         """``ids`` (doc_id and more) with the documents' texts."""
@@ -288,15 +306,18 @@ def marked(spark: SparkSession, docs: DataFrame, scratch: Scratch) -> DataFrame:
         return base.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id")
 
     def sets(wanted: DataFrame) -> DataFrame:
+        bounds.append(scratch.save(seen.drop("keys")))  # the band keys, most of the table, are done
+        scratch.drop(seen)
         home = wanted.groupBy(F.col("home").alias("doc_id")).agg(F.collect_list("node").alias("wanted"))
         return texts_of(home).select("wanted", "text").mapInArrow(_full_sets, "node long, n long, regs binary")
 
-    exact, made = FullSets(), []
+    exact, made, bounds = FullSets(), [], []
     clusters, few = loose_clusters(scratch, bands, sets, exact, exact, size=F.col("n") + 64, bucket=BLOCK)
     scratch.drop(few, *made)
+    paragraphs = bounds[0].select("doc_id", F.explode(F.arrays_zip("start", "stop", "node")).alias("x")).select("doc_id", "x.start", "x.stop", "x.node")
     in_class = paragraphs.join(clusters, "node", "left").select("doc_id", "start", "stop", F.coalesce("component", "node").alias("component"))
     in_class = scratch.save(in_class)
-    scratch.drop(seen, clusters)
+    scratch.drop(*bounds, clusters)
     first = in_class.groupBy("component").agg(F.min(F.struct("doc_id", "start", "stop")).alias("k"), F.max("doc_id").alias("last")).where("k.doc_id < last")
     first = scratch.save(first)
     scratch.drop()  # shuffle files of all components

@@ -133,3 +133,18 @@ def test_segment_registers(sizes):
     segs = [rng.integers(0, 2**63, n, dtype=np.uint64) for n in sizes]
     got = sketch.min_hash_segments(np.concatenate(segs), np.cumsum([0, *sizes])[:-1], 48)
     assert (got == np.stack([sketch.min_hash(s)[:48] for s in segs])).all()
+
+
+def test_a_task_gives_the_bands_of_equal_paragraphs_once(spark):
+    """Copies cost no band keys in their task, and all rows of the bands are dealt once."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(8)
+    text = " ".join(f"w{k}" for k in rng.integers(0, 900, 120))
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(1, 401)), "text": [text] * 400})
+    out = pa.Table.from_batches(sd._scan(iter([batch])))
+    keys = [sum(map(len, x)) for x in out.column("keys").to_pylist()]
+    assert out.num_rows == 400 and keys[0] > 0 and sum(keys[1:]) == 0
+    assert len({tuple(x) for x in out.column("node").to_pylist()}) == 1
+    remembered = sd.Remembered(10)
+    assert all(remembered.fresh([7]).tolist() == [i == 0] and remembered.fresh([100 + i]).all() for i in range(100))
