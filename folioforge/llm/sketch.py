@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 
+from .words import sliding
+
 #: Registers per set; base and rate of the exponential scale; largest register value.
 M, BASE, RATE, TOP = 128, 1.001, 20.0, 65534
 
@@ -40,26 +42,41 @@ def min_hash(sh: np.ndarray) -> np.ndarray:
     return (minima(sh) & np.uint32(0xFFFF)).astype(np.uint16)
 
 
-def min_hash_segments(sh: np.ndarray, starts: np.ndarray, m: int) -> np.ndarray:
-    """16-bit MinHash registers of the consecutive, non-empty segments of ``sh`` that begin at ``starts``."""
+def register(low: np.ndarray, k: int) -> np.ndarray:
+    """The hash function of register ``k`` for 32-bit numbers; its smallest value over a set is the register."""
+    x = low ^ _XOR[k]
+    x *= _MUL[k]
+    x ^= x >> np.uint32(15)
+    x *= np.uint32(0x2C1B3C6D)
+    return x
+
+
+def min_hash_segments(sh: np.ndarray, starts: np.ndarray, m: int, some: int = 32_768) -> np.ndarray:
+    """16-bit MinHash registers of the consecutive, non-empty segments of ``sh`` that begin at ``starts``.
+
+    Segments are taken together up to ``some`` elements, register by register, so that they stay near the processor.
+    """
     low = (sh >> np.uint64(32)).astype(np.uint32)
-    out = np.empty((len(starts), m), np.uint16)
+    out = np.empty((m, len(starts)), np.uint16)
     ends = np.append(starts[1:], len(low))
     at = 0
     while at < len(starts):
-        end = max(at + 1, int(np.searchsorted(ends, starts[at] + 8192, side="right")))
-        a, b = starts[at], ends[end - 1]
-        best = None
-        for s in range(a, b, 8192 if end == at + 1 else b - a):
-            x = low[s : min(b, s + 8192) if end == at + 1 else b, None] ^ _XOR[None, :m]
-            x *= _MUL[None, :m]
-            x ^= x >> np.uint32(15)
-            x *= np.uint32(0x2C1B3C6D)
-            part = np.minimum.reduceat(x, starts[at:end] - a if end > at + 1 else np.array([0]), axis=0)
-            best = part if best is None else np.minimum(best, part)
-        out[at:end] = (best & np.uint32(0xFFFF)).astype(np.uint16)
+        a = starts[at]
+        end = max(at + 1, int(np.searchsorted(ends, a + some, side="right")))
+        part = low[a : ends[end - 1]]
+        for k in range(m):
+            out[k, at:end] = np.minimum.reduceat(register(part, k), starts[at:end] - a) & np.uint32(0xFFFF)
         at = end
-    return out
+    return out.T
+
+
+def min_hash_windows(sh: np.ndarray, starts: np.ndarray, width: int, m: int) -> np.ndarray:
+    """16-bit MinHash registers of the runs of ``width`` elements of ``sh`` that begin at ``starts``."""
+    low = (sh >> np.uint64(32)).astype(np.uint32)
+    out = np.empty((m, len(starts)), np.uint16)
+    for k in range(m if len(starts) else 0):
+        out[k] = sliding(register(low, k), width, np.minimum)[starts] & np.uint32(0xFFFF)
+    return out.T
 
 
 def bands(regs: np.ndarray, rows: int, count: int) -> np.ndarray:

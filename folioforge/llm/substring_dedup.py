@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import sketch
 from .lsh import Registers, loose_clusters
 from .store import Scratch
-from .words import WordHashes, mix, ngrams, small, word_hashes
+from .words import WordHashes, Words, mix, ngrams, portions, raw, sliding
 
 #: Paragraphs are lines of at least LINE words, and windows of WINDOW words that begin at anchors, wherever lines break.
 #: An anchor is the smallest three-word hash among ANCHOR successive ones, so a passage of WINDOW + ANCHOR + 1 = 50 words
@@ -35,47 +35,84 @@ BLOCK = 60_000
 REMEMBERED = 200_000
 #: Node ids are broadcast for the second read of the texts only up to this many.
 BROADCAST_IDS = 125_000
-WORD = re.compile(r"[^ \t\n\x0b\x0c\r]+")
 
 
-class Text:
-    """A text's words and paragraphs, by word numbers."""
-
-    def __init__(self, text: str | None, known: WordHashes):
-        lines = [x.split() for x in (text or "").encode("utf-8", "surrogatepass").lower().split(b"\n")]
-        self.h = word_hashes([w for x in lines for w in x], known)
-        size = np.array([len(x) for x in lines], np.int64)
-        stop = np.cumsum(size)
-        long = size >= LINE
-        lines_at = np.stack([(stop - size)[long], stop[long]])
-        windows_at = self.windows()
-        self.start, self.stop = np.concatenate([lines_at, windows_at], axis=1)
+def anchors(g: np.ndarray) -> np.ndarray:
+    """Where the windows of a text begin whose three-word hashes are ``g``; fewer than ANCHOR have one at the smallest."""
+    least = np.lib.stride_tricks.sliding_window_view(g, min(ANCHOR, len(g))).argmin(axis=1)  # of equals the first
+    at = np.unique(least + np.arange(len(least)))
+    if (g[at[1:]] == g[at[:-1]]).any():  # in words that repeat, whose windows are equal, some anchors do
+        kept = at[:1].tolist()
+        for i in at[1:].tolist():
+            if g[i] != g[kept[-1]] or i - kept[-1] >= ANCHOR:
+                kept.append(i)
+        at = np.array(kept)
+    return at
+
+
+class Texts:
+    """The words and paragraphs of many texts, by word numbers that run on from text to text."""
+
+    def __init__(self, texts: list[bytes], known: WordHashes):
+        words = Words(texts, known)
+        self.h, self.first = words.h, words.first
+        line = words.lines()
+        long = np.flatnonzero(np.diff(line) >= LINE)
+        at = self.windows()
+        start, stop = np.concatenate([line[long], at]), np.concatenate([line[long + 1], at + WINDOW])
+        doc = np.searchsorted(self.first, start, side="right") - 1
+        order = np.argsort(doc, kind="stable")  # of each text the lines, then the windows
+        self.start, self.stop, self.doc, self.is_line = start[order], stop[order], doc[order], order < len(long)
         self.g = ngrams(self.h, SHINGLE)
-        self.is_line = np.arange(len(self.start)) < lines_at.shape[1]
 
     def windows(self) -> np.ndarray:
-        """Bounds of the windows; a text that has room for fewer than ANCHOR has one at its smallest hash."""
-        room = len(self.h) - WINDOW + 1
-        if room < 1:
-            return np.empty((2, 0), np.int64)
-        g = mix(ngrams(self.h, 3)[:room])
-        w = min(ANCHOR, room)
-        least = np.lib.stride_tricks.sliding_window_view(g, w).argmin(axis=1)  # of equals the first
-        at = np.unique(least + np.arange(len(least)))
-        if (g[at[1:]] == g[at[:-1]]).any():  # in words that repeat, whose windows are equal, some anchors do
-            kept = at[:1].tolist()
-            for i in at[1:].tolist():
-                if g[i] != g[kept[-1]] or i - kept[-1] >= ANCHOR:
-                    kept.append(i)
-            at = np.array(kept)
-        return np.stack([at, at + WINDOW])
+        """Where the windows begin: at the anchors of each text."""
+        room = np.maximum(np.diff(self.first) - WINDOW + 1, 0)
+        begin = self.first[:-1]
+        total = len(self.h) - WINDOW + 1
+        if total < 1 or not room.any():
+            return np.empty(0, np.int64)
+        g = mix(ngrams(self.h, 3)[:total])
+        wide = room >= ANCHOR
+        at = np.empty(0, np.int64)
+        if wide.any():
+            # the smallest of each run of ANCHOR that lies in one text, 0 for others; an anchor is as large as one of its runs'
+            least = np.where(self.among(begin[wide], room[wide] - ANCHOR + 1, total - ANCHOR + 1), sliding(g, ANCHOR, np.minimum), np.uint64(0))
+            none = np.zeros(ANCHOR - 1, np.uint64)
+            most = sliding(np.concatenate([none, least, none]), ANCHOR, np.maximum)
+            at = np.flatnonzero((g == most) & self.among(begin[wide], room[wide], total))
+        # equals are rare: their texts, and those that are shorter than a run, are looked at alone
+        doc = np.searchsorted(self.first, at, side="right") - 1
+        tied = np.unique(doc[1:][(g[at[1:]] == g[at[:-1]]) & (doc[1:] == doc[:-1])])
+        alone = np.concatenate([tied, np.flatnonzero((room > 0) & ~wide)])
+        more = [begin[d] + anchors(g[begin[d] : begin[d] + room[d]]) for d in alone.tolist()]
+        return np.concatenate([at[~np.isin(doc, tied)], *more])
+
+    @staticmethod
+    def among(start: np.ndarray, size: np.ndarray, total: int) -> np.ndarray:
+        """Which of ``total`` places lie in one of the runs of ``size`` places, apart from each other, that begin at ``start``."""
+        step = np.zeros(total + 1, np.int8)
+        step[start] += 1
+        step[start + size] -= 1
+        return np.cumsum(step[:-1], dtype=np.int8).view(bool)
 
     def sets(self) -> list[np.ndarray]:
         """Shingles of each paragraph."""
-        return [self.set_of(i) for i in range(len(self.start))]
-
-    def set_of(self, i: int) -> np.ndarray:
-        return np.unique(self.g[self.start[i] : self.stop[i] - SHINGLE + 1])
+        return [np.unique(self.g[a : b - SHINGLE + 1]) for a, b in zip(self.start, self.stop)]
+
+    def packed(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``at`` in another order, how many shingles each of these paragraphs has, and their sorted shingles one after another."""
+        size = self.stop[at] - self.start[at] - SHINGLE + 1
+        order, counts, flat = [at[:0]], [at[:0]], [self.g[:0]]
+        for n in np.unique(size).tolist():
+            some = at[size == n]
+            rows = np.sort(self.g[self.start[some][:, None] + np.arange(n)], axis=1)
+            new = np.ones(rows.shape, bool)
+            new[:, 1:] = rows[:, 1:] != rows[:, :-1]
+            order.append(some)
+            counts.append(new.sum(axis=1))
+            flat.append(rows[new])
+        return np.concatenate(order), np.concatenate(counts), np.concatenate(flat)
 
     def nodes(self) -> np.ndarray:
         """A 64-bit number for each paragraph's shingles: equal for equal paragraphs."""
@@ -86,14 +123,26 @@ class Text:
     def keys(self, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """The keys of all bands of the (wanted) paragraphs in their order, and how many each paragraph has."""
         wanted = np.ones(len(self.start), bool) if wanted is None else wanted
-        keys = [np.empty(0, np.int64)]
-        for part, rows, bands in ((wanted & self.is_line, LINE_ROWS, LINE_BANDS), (wanted & ~self.is_line, WINDOW_ROWS, WINDOW_BANDS)):
-            start, size = self.start[part], self.stop[part] - self.start[part] - SHINGLE + 1
-            if len(start):
-                first = np.cumsum(size) - size
-                flat = self.g[np.repeat(start - first, size) + np.arange(size.sum())]
-                keys.append(sketch.bands_of_rows(sketch.min_hash_segments(flat, first, rows * bands), rows, bands).ravel())
-        return np.concatenate(keys), np.where(wanted, np.where(self.is_line, LINE_BANDS, WINDOW_BANDS), 0)
+        count = np.where(wanted, np.where(self.is_line, LINE_BANDS, WINDOW_BANDS), 0)
+        place = np.cumsum(count) - count
+        keys = np.empty(count.sum(), np.int64)
+        if len(lines := np.flatnonzero(wanted & self.is_line)):
+            size = self.stop[lines] - self.start[lines] - SHINGLE + 1
+            begin = np.cumsum(size) - size
+            flat = self.g[np.repeat(self.start[lines] - begin, size) + np.arange(size.sum())]
+            regs = sketch.min_hash_segments(flat, begin, LINE_ROWS * LINE_BANDS)
+            keys[place[lines][:, None] + np.arange(LINE_BANDS)] = sketch.bands_of_rows(regs, LINE_ROWS, LINE_BANDS)
+        if len(at := np.flatnonzero(wanted & ~self.is_line)):
+            regs = sketch.min_hash_windows(self.g, self.start[at], WINDOW - SHINGLE + 1, WINDOW_ROWS * WINDOW_BANDS)
+            keys[place[at][:, None] + np.arange(WINDOW_BANDS)] = sketch.bands_of_rows(regs, WINDOW_ROWS, WINDOW_BANDS)
+        return keys, count
+
+
+class Text(Texts):
+    """A text's words and paragraphs, by word numbers."""
+
+    def __init__(self, text: str | None, known: WordHashes):
+        super().__init__([(text or "").encode("utf-8", "surrogatepass")], known)
 
 
 class Remembered:
@@ -116,47 +165,75 @@ class Remembered:
 SEEN = "doc_id long, start array<int>, stop array<int>, node array<long>, keys array<array<long>>"
 
 
-def nested(parts: list[np.ndarray], sizes: list[np.ndarray]) -> pa.Array:
-    """A list of lists for each part; ``sizes`` are those of its inner lists."""
-    ends = lambda n: pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32))
-    values = np.concatenate([np.empty(0, np.int64), *parts])
-    inner = pa.ListArray.from_arrays(ends(np.concatenate([np.empty(0, np.int64), *sizes])), pa.array(values))
-    return pa.ListArray.from_arrays(ends([len(x) for x in sizes]), inner)
+def listed(values: np.ndarray | pa.Array, sizes: np.ndarray) -> pa.Array:
+    """Lists of ``sizes`` successive values."""
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(values))
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each document with paragraphs: their bounds, nodes and band keys, those of equal ones once."""
     known, met = WordHashes(), Remembered(REMEMBERED)
-    for b in small(batches):
-        ids, starts, stops, nodes, keys, sizes = [], [], [], [], [], []
-        for i, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
-            x = Text(t, known)
-            if not len(x.start):
-                continue
-            ids.append(i)
-            starts.append(x.start.astype(np.int32))
-            stops.append(x.stop.astype(np.int32))
-            nodes.append(x.nodes())
-            k, n = x.keys(met.fresh(nodes[-1].tolist()))
-            keys.append(k)
-            sizes.append(n)
-        many = lambda x, kind: pa.array(x, pa.list_(kind))
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), many(starts, pa.int32()), many(stops, pa.int32()), many(nodes, pa.int64()), nested(keys, sizes)], names=["doc_id", "start", "stop", "node", "keys"])
+    for b in portions(batches):
+        x = Texts(raw(b.column("text")), known)
+        size = np.bincount(x.doc, minlength=b.num_rows)
+        some = np.flatnonzero(size)
+        begin, nodes = x.first[x.doc], x.nodes()
+        keys, count = x.keys(met.fresh(nodes.tolist()))
+        parts = [(x.start - begin).astype(np.int32), (x.stop - begin).astype(np.int32), nodes, listed(keys, count)]
+        yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(some)), *(listed(p, size[some]) for p in parts)], names=["doc_id", "start", "stop", "node", "keys"])
 
 
 def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     known = WordHashes()
-    for b in small(batches):
-        nodes, n, sh = [], [], []
-        for want, t in zip(b.column("wanted").to_pylist(), b.column("text").to_pylist()):
-            x = Text(t, known)
-            found, first = np.unique(x.nodes(), return_index=True)
-            for k in np.flatnonzero(np.isin(found, np.array(want, np.int64))).tolist():
-                s = x.set_of(first[k])
-                nodes.append(int(found[k]))
-                n.append(len(s))
-                sh.append(s.tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(n, pa.int64()), pa.array(sh, pa.binary())], names=["node", "n", "regs"])
+    for b in portions(batches):
+        x = Texts(raw(b.column("text")), known)
+        nodes = x.nodes()
+        at = np.flatnonzero(np.isin(nodes, b.column("wanted").flatten().to_numpy()))
+        at = at[np.unique(nodes[at], return_index=True)[1]]
+        at, n, flat = x.packed(at)
+        ends = np.concatenate([[0], np.cumsum(8 * n)]).astype(np.int32)
+        sets = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(ends), pa.py_buffer(flat)])
+        yield pa.RecordBatch.from_arrays([pa.array(nodes[at]), pa.array(n), sets], names=["node", "n", "regs"])
+
+
+class Sets:
+    """Sorted sets of 64-bit numbers, one after another in ``flat``."""
+
+    def __init__(self, flat: np.ndarray, start: np.ndarray, size: np.ndarray):
+        self.flat, self.start, self.size = flat, start, size
+
+    def __len__(self) -> int:
+        return len(self.size)
+
+    def __getitem__(self, rows) -> Sets:
+        return Sets(self.flat, self.start[rows], self.size[rows])
+
+    def values(self) -> np.ndarray:
+        return self.flat[np.repeat(self.start - (np.cumsum(self.size) - self.size), self.size) + np.arange(self.size.sum())]
+
+
+def in_one(one: np.ndarray, many: Sets) -> np.ndarray:
+    """How many elements each of ``many`` shares with ``one``."""
+    v = many.values()
+    hit = one[np.minimum(np.searchsorted(one, v), len(one) - 1)] == v
+    return np.add.reduceat(hit, np.cumsum(many.size) - many.size, dtype=np.int64)
+
+
+def in_pairs(x: Sets, y: Sets, some: int = 2048) -> np.ndarray:
+    """How many elements each of ``x`` shares with the one of ``y`` in its place: equals in the sorted elements of both."""
+    total = x.size + y.size
+    out = np.empty(len(total), np.int64)
+    order = np.argsort(total, kind="stable")
+    for s in range(0, len(order), some):
+        at = order[s : s + some]
+        a, b, width = x[at], y[at], np.arange(total[at[-1]])
+        rows = np.full((len(at), len(width)), np.uint64(2**64 - 1))
+        rows[width < a.size[:, None]] = a.values()
+        rows[(width >= a.size[:, None]) & (width < total[at][:, None])] = b.values()
+        rows.sort(axis=1)
+        same = (rows[:, 1:] == rows[:, :-1]) & (width[1:] < total[at][:, None])
+        out[at] = same.sum(axis=1)
+    return out
 
 
 class FullSets(Registers):
@@ -165,18 +242,16 @@ class FullSets(Registers):
     def __init__(self):
         pass
 
-    def table(self, blobs: list[bytes]) -> np.ndarray:
-        out = np.empty(len(blobs), object)
-        for i, x in enumerate(blobs):
-            out[i] = frozenset(np.frombuffer(x, np.uint64).tolist())
-        return out
+    def table(self, blobs: list[bytes]) -> Sets:
+        size = np.fromiter(map(len, blobs), np.int64, len(blobs)) // 8
+        return Sets(np.frombuffer(b"".join(blobs), np.uint64), np.cumsum(size) - size, size)
 
-    def close(self, x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray) -> np.ndarray:
+    def close(self, x: Sets, y: Sets, nx: np.ndarray, ny: np.ndarray) -> np.ndarray:
         ok = (WHOLE * ny >= PART * nx) & (WHOLE * nx >= PART * ny)
-        for i in np.flatnonzero(ok):
-            a, b = x[0] if len(x) == 1 else x[i], y[i]
-            both = len(a & b)
-            ok[i] = WHOLE * both >= PART * (len(a) + len(b) - both)
+        at = np.flatnonzero(ok)
+        if len(at):
+            both = in_one(x.values(), y[at]) if len(x) == 1 else in_pairs(x[at], y[at])
+            ok[at] = WHOLE * both >= PART * (x.size[at if len(x) > 1 else 0] + y.size[at] - both)
         return ok
 
 
@@ -210,10 +285,11 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _context(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The words around the wanted places of kept documents, as they follow in the text."""
     known = WordHashes()
-    for b in small(batches):
+    for b in portions(batches):
+        x = Words(raw(b.column("text")), known)
         docs, places, words = [], [], []
-        for i, want, t in zip(b.column("doc_id").to_pylist(), b.column("wanted").to_pylist(), b.column("text").to_pylist()):
-            h = word_hashes((t or "").encode("utf-8", "surrogatepass").lower().split(), known)
+        for i, want, first, end in zip(b.column("doc_id").to_pylist(), b.column("wanted").to_pylist(), x.first[:-1].tolist(), x.first[1:].tolist()):
+            h = x.h[first:end]
             for p in want:
                 docs.append(i)
                 places.append(p)
@@ -221,6 +297,21 @@ def _context(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(places, pa.int32()), pa.array(words, pa.binary())], names=["doc_id", "place", "words"])
 
 
+def shared_words(mine: np.ndarray, theirs: np.ndarray) -> list[bool]:
+    """Which of ``mine`` stand in a run of SHINGLE words that ``theirs`` have too; one more, false, at the end."""
+    n, m = len(mine) - SHINGLE + 1, len(theirs) - SHINGLE + 1
+    shared = np.zeros(len(mine) + 1, bool)
+    if n > 0 and m > 0:
+        same = mine[:, None] == theirs[None, :]
+        runs = same[:n, :m].copy()
+        for k in range(1, SHINGLE):
+            runs &= same[k : n + k, k : m + k]
+        at = runs.any(axis=1)
+        for k in range(SHINGLE):
+            shared[k : n + k] |= at
+    return shared.tolist()
+
+
 def true_end(h: np.ndarray, place: int, words: bytes | None, step: int) -> int:
     """The word bound at which what a text shares with its kept document around ``place`` begins (step -1) or ends (1).
 
@@ -231,10 +322,7 @@ def true_end(h: np.ndarray, place: int, words: bytes | None, step: int) -> int:
         return place
     lo = max(0, place - REACH)
     part = h[lo : place + REACH]
-    at = np.flatnonzero(np.isin(ngrams(part, SHINGLE), ngrams(np.frombuffer(words, np.uint64), SHINGLE)))
-    shared = np.zeros(len(part) + 1, bool)
-    for k in range(SHINGLE):
-        shared[at + k] = True
+    shared = shared_words(part, np.frombuffer(words, np.uint64))
     inside, end = (place - lo, -1) if step < 0 else (place - lo - 1, len(part))
     for _ in range(WINDOW // 2):  # back into the paragraph
         if 0 <= inside < len(part) and not shared[inside]:
@@ -246,9 +334,8 @@ def true_end(h: np.ndarray, place: int, words: bytes | None, step: int) -> int:
     return lo + (inside if step < 0 else inside + 1)
 
 
-def removals(text: str, known: WordHashes, runs: list[dict]) -> list[tuple[int, int, int]]:
+def removals(h: np.ndarray, runs: list[dict]) -> list[tuple[int, int, int]]:
     """``first word, end, kept document`` of the passages to remove, in order and apart from each other."""
-    h = word_hashes(text.encode("utf-8", "surrogatepass").lower().split(), known)
     out: list[tuple[int, int, int]] = []
     for r in sorted(runs, key=lambda r: r["run"]):
         if r["last"] > len(h):  # a repeated doc_id brings marks of another text
@@ -268,28 +355,30 @@ SPANS_SQL = "array<struct<start:bigint,length:bigint,n_words:bigint,kept_doc_id:
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Spans in code points of what is removed from each text with runs."""
     known = WordHashes()
-    for b in small(batches):
-        out = []
-        for t, runs in zip(b.column("text").to_pylist(), b.column("runs").to_pylist()):
-            found = removals(t or "", known, runs)
-            if found:
-                at = [m.span() for m in WORD.finditer(t)]
-                found = [{"start": at[a][0], "length": at[e - 1][1] - at[a][0], "n_words": e - a, "kept_doc_id": k} for a, e, k in found]
-            out.append(found)
+    for b in portions(batches):
+        x = Words(raw(b.column("text")), known)
+        point, out = x.code_points(), []
+        for d, runs in enumerate(b.column("runs").to_pylist()):
+            first, end, begin = x.first[d], x.first[d + 1], point[x.begin[d]]
+            spans = []
+            for a, e, k in removals(x.h[first:end], runs):
+                left, right = int(point[x.start[first + a]]), int(point[x.stop[first + e - 1]])
+                spans.append({"start": left - int(begin), "length": right - left, "n_words": e - a, "kept_doc_id": k})
+            out.append(spans)
         yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(out, SPANS)], names=["row", "spans"])
 
 
-def cut_text(t: str, runs: list[dict], known: WordHashes) -> str:
-    """The text without the passages that its runs make up."""
-    spans = removals(t, known, runs)
-    if not spans:
-        return t
-    at = [w.span() for w in WORD.finditer(t)]
-    kept, last = [], 0
-    for a, e, _ in spans:
-        kept.append(t[last : at[a][0]])
-        last = at[e][0] if e < len(at) else len(t)
-    return "".join(kept) + t[last:]
+def cut_texts(texts: list[bytes], runs: list[list[dict]], known: WordHashes) -> list[bytes]:
+    """The texts without the passages that their runs make up."""
+    x, out = Words(texts, known), []
+    for d, t in enumerate(texts):
+        first, end, begin = x.first[d], x.first[d + 1], x.begin[d]
+        kept, last = [], 0
+        for a, e, _ in removals(x.h[first:end], runs[d]):
+            kept.append(t[last : x.start[first + a] - begin])
+            last = x.start[first + e] - begin if first + e < end else len(t)
+        out.append(b"".join([*kept, t[last:]]))
+    return out
 
 
 def marked(spark: SparkSession, docs: DataFrame, scratch: Scratch) -> DataFrame:
@@ -367,15 +456,15 @@ def without_passages(spark: SparkSession, docs: DataFrame, scratch: Scratch | No
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
-        for b in small(batches):
-            runs, texts = b.column("_runs").to_pylist(), b.column("text").to_pylist()
-            keep = []
-            for r, (t, m) in enumerate(zip(texts, runs)):
-                if m is not None and t is not None:
-                    texts[r] = t = cut_text(t, m, known)
-                if m is None or t is None or WORD.search(t):
-                    keep.append(r)
-            out = [pa.array(texts, b.column("text").type) if n == "text" else b.column(n) for n in names]
-            yield pa.RecordBatch.from_arrays(out, names=names).take(pa.array(keep, pa.int64()))
+        for b in portions(batches):
+            texts, keep = b.column("text"), np.ones(b.num_rows, bool)
+            some = pc.and_(b.column("_runs").is_valid(), texts.is_valid())
+            at = pa.array(np.flatnonzero(some.to_numpy(zero_copy_only=False)))
+            if len(at):
+                left = cut_texts(raw(texts.take(at)), b.column("_runs").take(at).to_pylist(), known)
+                keep[at.to_numpy()] = [bool(t.strip()) for t in left]
+                texts = pc.replace_with_mask(texts, some, pa.array(left, pa.binary()).cast(texts.type))
+            out = [texts if n == "text" else b.column(n) for n in names]
+            yield pa.RecordBatch.from_arrays(out, names=names).filter(pa.array(keep))
 
     return rows.select(*names, "_runs").mapInArrow(cut, docs.schema)

@@ -148,3 +148,106 @@ def test_a_task_gives_the_bands_of_equal_paragraphs_once(spark):
     assert len({tuple(x) for x in out.column("node").to_pylist()}) == 1
     remembered = sd.Remembered(10)
     assert all(remembered.fresh([7]).tolist() == [i == 0] and remembered.fresh([100 + i]).all() for i in range(100))
+
+
+def mixed_texts(rng):
+    """Texts of every length, in several scripts, with repeats, long words, odd white space and none."""
+    out = [None, "", " \n\t", "a b " * 300, "x " * 900, "A\x0bB\x0cc c\rd\x1ce\x85f g " * 20, "\n".join(["w" * 70 + " " + "w" * 71] * 40)]
+    for n, most in zip(rng.integers(1, 300, 200), rng.choice([3, 40, 10**9], 200)):
+        out.append(" ".join(f"w{k}" for k in rng.integers(0, most, n)))
+    for n in rng.integers(1, 90, 60):
+        out.append("".join("é" * int(k % 9) + "文" * int(k % 23) + "Zz"[: k % 3] + " \n"[int(k % 7 == 0)] for k in rng.integers(0, 99, n)))
+    return out
+
+
+def test_a_scan_costs_less_than_a_look_at_every_word_in_python():
+    """The figure behind the seconds a GB: words are split, hashed and banded together, not one after another or text by text."""
+    import time
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(9)
+    vocabulary = np.array([f"w{k}" for k in range(50_000)])
+    texts = ["\n".join(" ".join(x) for x in rng.choice(vocabulary, (8, 60))) for _ in range(1200)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
+
+    def by_word():
+        known = WordHashes()
+        return [[known[w] for w in t.encode().lower().split()] for t in texts]
+
+    def seconds(f):
+        s = time.process_time()
+        f()
+        return time.process_time() - s
+
+    scan, words_alone = (min(seconds(f) for _ in range(3)) for f in (lambda: list(sd._scan(iter([batch]))), by_word))
+    assert scan < 1.5 * words_alone
+
+
+def test_words_of_many_texts_are_those_of_each():
+    from folioforge.llm.words import Words
+
+    texts = [(t or "").encode() for t in mixed_texts(np.random.default_rng(10))]
+    x, hashes = Words(texts, WordHashes()), {}
+    points = x.code_points()
+    for d, t in enumerate(texts):
+        want = t.lower().split()
+        at = range(x.first[d], x.first[d + 1])
+        assert [x.data[x.start[i] : x.stop[i]] for i in at] == want
+        for i, w in zip(at, want):
+            assert hashes.setdefault(w, x.h[i]) == x.h[i]
+            assert points[x.start[i]] - points[x.begin[d]] == len(t[: x.start[i] - x.begin[d]].decode())
+    assert len(set(hashes.values())) == len(hashes)
+
+
+def test_texts_together_have_the_paragraphs_of_each_alone():
+    """Lines, then windows at the anchors of the text's own three-word hashes; nodes, keys and sets do not depend on neighbours."""
+    from folioforge.llm.words import mix, ngrams
+
+    texts, known = mixed_texts(np.random.default_rng(11)), WordHashes()
+    x = sd.Texts([(t or "").encode() for t in texts], known)
+    nodes, (keys, count), sets = x.nodes(), x.keys(), x.sets()
+    order, n, flat = x.packed(np.arange(len(nodes)))
+    packed = dict(zip(order.tolist(), np.split(flat, np.cumsum(n)[:-1])))
+    ends = np.cumsum(count)
+    for d, t in enumerate(texts):
+        one, at, first = sd.Text(t, known), np.flatnonzero(x.doc == d), x.first[d]
+        lines, p = [], 0
+        for line in (t or "").encode().split(b"\n"):
+            p += (k := len(line.split()))
+            lines += [(p - k, p)] * (k >= sd.LINE)
+        room = len(one.h) - sd.WINDOW + 1
+        windows = [(i, i + sd.WINDOW) for i in sd.anchors(mix(ngrams(one.h, 3))[:room]).tolist()] if room > 0 else []
+        assert [(a - first, b - first) for a, b in zip(x.start[at], x.stop[at])] == lines + windows
+        assert (nodes[at] == one.nodes()).all() and (np.concatenate([keys[:0], *(keys[ends[i] - count[i] : ends[i]] for i in at)]) == one.keys()[0]).all()
+        for i, s in zip(at.tolist(), one.sets()):
+            assert (packed[i] == s).all() and (sets[i] == s).all()
+    window = ~x.is_line
+    regs = sketch.min_hash_windows(x.g, x.start[window], sd.WINDOW - 4, 6)
+    assert all((r == sketch.min_hash(x.g[a : a + sd.WINDOW - 4])[:6]).all() for r, a in zip(regs[:200], x.start[window]))
+
+
+def test_full_sets_compare_like_python_sets():
+    rng = np.random.default_rng(12)
+    pool = rng.integers(0, 2**64 - 1, 40, dtype=np.uint64)
+    sets = [np.unique(rng.choice(pool, k, replace=False)) for k in rng.integers(1, 40, 300)]
+    exact, n = sd.FullSets(), np.array([len(s) for s in sets])
+    table = exact.table([s.tobytes() for s in sets])
+    want = np.array([[100 * len(a & b) >= 75 * len(a | b) for b in map(set, sets)] for a in map(set, sets)])
+    assert 0 < want.sum() < want.size
+    for i in range(len(sets)):
+        assert (exact.close(table[i : i + 1], table, n[i : i + 1], n) == want[i]).all()
+        other = rng.permutation(len(sets))
+        assert (exact.close(table, table[other], n, n[other]) == want[np.arange(len(sets)), other]).all()
+
+
+def test_spans_count_code_points():
+    import pyarrow as pa
+
+    words = [f"é{k}文" for k in range(60)]
+    text = "ä ö ü  " + " ".join(words) + " 𝔘 end"
+    run = {"run": 0, "first": 2, "last": 62, "kept": 7, "left_words": None, "right_words": None}
+    batch = pa.RecordBatch.from_pydict({"row": [1, 2], "text": ["x", text], "runs": [[], [run]]})
+    got = next(sd._cut(iter([batch]))).column("spans").to_pylist()
+    assert got == [[], [{"start": text.index(words[0]), "length": len(" ".join(words)), "n_words": 60, "kept_doc_id": 7}]]
+    assert sd.cut_texts([text.encode()], [[run]], WordHashes())[0].decode() == "ä ö ü  𝔘 end"
