@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 WORD_START_OR_END = r"(?:(?<![A-Za-z0-9_])(?=[A-Za-z0-9_])|(?<=[A-Za-z0-9_])(?![A-Za-z0-9_]))"
 LINE_CHAR = "[^\\n\\r\\u0085\\u2028\\u2029]"
+CONTROLS = "".join(map(chr, range(0x21)))
 
 # What Windows-1252 has at the code points 0x80 to 0x9F; the five unassigned ones stay as they are.
 WIN1252_CODES = [0x80, *range(0x82, 0x8D), 0x8E, *range(0x91, 0x9D), 0x9E, 0x9F]
@@ -22,14 +25,24 @@ def matches(c: Column, pattern: str) -> Column:
     return c.rlike(ascii_words(pattern))
 
 
+def once(c: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of a value that is computed once, however often ``f`` names it: in branches Spark computes it each time."""
+    return F.get(F.transform(F.array(c), f), F.lit(0))
+
+
+def unless_empty(c: Column) -> Column:
+    """Null for the empty text."""
+    return F.get(F.filter(F.array(c), lambda x: x != ""), F.lit(0))
+
+
 def group(c: Column, pattern: str, n: int = 1) -> Column:
     """A group of the first match; null if there is none or it is empty."""
-    return F.nullif(F.regexp_extract(c, ascii_words(pattern), n), F.lit(""))
+    return unless_empty(F.regexp_extract(c, ascii_words(pattern), n))
 
 
 def trim_controls(c: Column) -> Column:
     """Without the characters up to U+0020 at both ends."""
-    return F.regexp_replace(c, r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+    return F.btrim(c, F.lit(CONTROLS))
 
 
 def lines(c: Column) -> Column:
@@ -82,12 +95,16 @@ def post_process(c: Column) -> Column:
 
 
 def collapse_repeats(c: Column) -> Column:
-    """Only the first of consecutive equal lines (trimmed), blank lines apart."""
-    rows = lines(c)
-    trimmed = F.transform(rows, trim_controls)
-    before = F.concat(F.array(F.lit("")), trimmed)
-    keep = F.filter(F.transform(rows, lambda x, i: F.when((F.get(trimmed, i) == "") | (F.get(trimmed, i) != F.get(before, i)), x)), lambda x: x.isNotNull())
-    return unlines(keep)
+    """Only the first of consecutive equal lines (trimmed), blank lines apart.
+
+    Each line meets the trimmed one before it in one pass over both arrays, which are made once a text.
+    """
+
+    def kept(rows: Column) -> Column:
+        before = F.concat(F.array(F.lit("")), F.transform(F.slice(rows, F.lit(1), F.size(rows) - 1), trim_controls))
+        return F.zip_with(rows, before, lambda x, b: once(trim_controls(x), lambda t: F.when((t == "") | (t != b), x)))
+
+    return unlines(F.filter(once(lines(c), kept), lambda x: x.isNotNull()))
 
 
 def tokens(c: Column) -> Column:
