@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from folioforge.functions.text import ascii_words, group, lines, matches, trim_controls
+from folioforge.functions.text import ascii_words, group, lines, matches, once, trim_controls, unless_empty
 
 # Labels of a labelled block and the fields they fill; patterns of the other formats.
 LABELS = {
@@ -37,13 +37,11 @@ SCHEMA = "struct<format:string,count:int," + ",".join(f"{f}:string" for f in FIE
 
 def squeezed(c: Column) -> Column:
     """Single spaces; blank and ``nil`` are absent."""
-    one = F.regexp_replace(trim_controls(c), r"\s+", " ")
-    return F.when((one != "") & (F.lower(one) != "nil"), one)
+    return F.get(F.filter(F.array(F.regexp_replace(trim_controls(c), r"\s+", " ")), lambda x: (x != "") & (F.lower(x) != "nil")), F.lit(0))
 
 
 def present(c: Column) -> Column:
-    t = trim_controls(c)
-    return F.when(t != "", t)
+    return unless_empty(trim_controls(c))
 
 
 def filled(block: Column) -> Column:
@@ -74,19 +72,18 @@ def _first_like(rows: Column, pattern: str) -> Column:
     return F.get(F.filter(rows, lambda x: x.rlike(pattern)), F.lit(0))
 
 
-def labelled(block: Column) -> Column:
+def labelled(rows: Column) -> Column:
     """Lines of ``LABEL: value``; the name is the first other line."""
-    name = F.get(F.filter(filled(block), lambda x: ~x.rlike(LABEL_LINE)), F.lit(0))
+    name = F.get(F.filter(rows, lambda x: ~x.rlike(LABEL_LINE)), F.lit(0))
     out = {"format": F.lit("labeled_block"), "name": name}
     for k, p in LABELS.items():
-        one = _first_like(filled(block), rf"(?i){p}[:\s]+\S")
+        one = _first_like(rows, rf"(?i){p}[:\s]+\S")
         out[k] = present(group(one, rf"(?i){p}[:\s]+(\S+)")) if k == "ac" else squeezed(group(one, rf"(?i){p}[:\s]+(.+)"))
     return _struct(out)
 
 
-def character(block: Column) -> Column:
+def character(block: Column, rows: Column) -> Column:
     """A narrated character with abilities spelt out."""
-    rows = filled(block)
     second = F.get(rows, F.lit(1))
     out = {"format": F.lit("narrative_character"), "name": F.get(rows, F.lit(0)), "title": F.when(~second.rlike(CLASS_LEVEL), second), "class_level": present(group(block, CLASS_LEVEL))}
     out |= {k: present(group(block, "(?i)" + p)) for k, p in CHARACTER.items()}
@@ -95,15 +92,14 @@ def character(block: Column) -> Column:
     return _struct(out)
 
 
-def compact_card(block: Column) -> Column:
-    return _struct({"format": F.lit("compact_card"), "name": F.get(filled(block), F.lit(0)), "raw": trim_controls(block)})
+def compact_card(block: Column, rows: Column) -> Column:
+    return _struct({"format": F.lit("compact_card"), "name": F.get(rows, F.lit(0)), "raw": trim_controls(block)})
 
 
-def army_units(block: Column) -> Column:
-    rows = F.filter(filled(block), lambda x: x.rlike(UNIT))
+def army_units(rows: Column) -> Column:
     part = lambda x, n: trim_controls(F.regexp_extract(x, UNIT, n))
-    units = F.transform(rows, lambda x: F.struct(part(x, 1).cast("int").alias("count"), part(x, 2).alias("name"), part(x, 3).alias("category"), part(x, 4).cast("int").alias("hp")))
-    return _struct({"format": F.lit("army_unit"), "units": F.when(F.size(units) > 0, units)})
+    units = F.transform(F.filter(rows, lambda x: x.rlike(UNIT)), lambda x: F.struct(part(x, 1).cast("int").alias("count"), part(x, 2).alias("name"), part(x, 3).alias("category"), part(x, 4).cast("int").alias("hp")))
+    return _struct({"format": F.lit("army_unit"), "units": once(units, lambda u: F.when(F.size(u) > 0, u))})
 
 
 def parse_block(block: Column, *, compat: bool = False) -> Column:
@@ -111,8 +107,11 @@ def parse_block(block: Column, *, compat: bool = False) -> Column:
 
     Null for null and blank content.
     """
-    rows = filled(block)
-    is_label = F.size(F.filter(rows, lambda x: x.rlike(LABEL_LINE))) >= 3
-    is_army = (F.size(rows) >= 1) & (F.size(lines(trim_controls(block))) >= 2) & F.forall(rows, lambda x: x.rlike(ascii_words(UNIT_LINE)))
-    out = F.when(is_label, labelled(block)).when(matches(block, COMPACT_LINE), compact_card(block)).when(matches(block, THAC0) & matches(block, ABILITY), character(block))
-    return F.when(F.size(rows) > 0, out.when(is_army, army_units(block)).otherwise(inline_semicolon(block, compat=compat)))
+
+    def parsed(block: Column, rows: Column) -> Column:
+        is_label = F.size(F.filter(rows, lambda x: x.rlike(LABEL_LINE))) >= 3
+        is_army = (F.size(rows) >= 1) & (F.size(lines(trim_controls(block))) >= 2) & F.forall(rows, lambda x: x.rlike(ascii_words(UNIT_LINE)))
+        out = F.when(is_label, labelled(rows)).when(matches(block, COMPACT_LINE), compact_card(block, rows)).when(matches(block, THAC0) & matches(block, ABILITY), character(block, rows))
+        return F.when(F.size(rows) > 0, out.when(is_army, army_units(rows)).otherwise(inline_semicolon(block, compat=compat)))
+
+    return once(block, lambda b: once(filled(b), lambda rows: parsed(b, rows)))
