@@ -263,8 +263,8 @@ def stat_f1(spark: SparkSession, sf: str) -> DataFrame:
         F.col("l_quantity").cast("int").cast("string"), F.lit(" Widgets "), c("l_linenumber"), F.lit(" ("), "l_returnflag", F.lit("). AL "), F.when(F.col("l_returnflag") == "N", "LN").otherwise("CE"), F.lit("; MV 9; hp "), c("l_partkey"),
         F.lit("; AC "), (F.col("l_linenumber") % 7).cast("string"), F.lit("; HD "), c("l_linenumber"), F.lit("+1; #AT 1; Dmg 1-"), c("l_linenumber"),
     )
-    b = F.col("b")
-    return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", B.inline_semicolon(text).alias("b")).select("l_orderkey", "l_linenumber", b["count"].alias("n"), b["name"].alias("name"), b["type"].alias("kind"), *(b[k].alias(k) for k in ("al", "mv", "hp", "ac", "hd", "dmg")))
+    b = B.inline_semicolon(F.col("t"))
+    return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", text.alias("t")).select("l_orderkey", "l_linenumber", b["count"].alias("n"), b["name"].alias("name"), b["type"].alias("kind"), *(b[k].alias(k) for k in ("al", "mv", "hp", "ac", "hd", "dmg")))
 
 
 @query("""SELECT p_partkey, 'labeled_block' AS format, p_name AS name, p_brand AS frequency, p_size::VARCHAR AS ac, (p_size % 9) || '+2' AS hd, CASE WHEN p_size % 2 = 0 THEN p_type END AS special_attacks FROM part""")
@@ -306,8 +306,8 @@ def currency_monsters(spark: SparkSession, sf: str) -> DataFrame:
 SELECT o_orderkey, coalesce(array_to_string(list_transform(list_filter(parts, lambda x: regexp_matches(x, '(?i)\\b(attack|flee|charge|retreat|melee)\\b')), lambda x: trim(x)), '|'), '') AS tactics,
 coalesce(array_to_string(list_transform(list_filter(parts, lambda x: regexp_matches(x, '(?i)\\b(floor|ceiling|wall|door|room|corridor)\\b')), lambda x: trim(x)), '|'), '') AS terrain FROM p""")
 def encounter_fields(spark: SparkSession, sf: str) -> DataFrame:
-    e = table(spark, sf, "orders").select("o_orderkey", E.encounter(order_text()).alias("e"))
-    return e.select("o_orderkey", *(F.coalesce(F.array_join(f"e.{a}", "|"), F.lit("")).alias(b) for a, b in (("tactics", "tactics"), ("terrain_notes", "terrain"))))
+    e = E.encounter(F.col("t"))  # members are taken from the expression, so that the struct's others are not computed
+    return table(spark, sf, "orders").select("o_orderkey", order_text().alias("t")).select("o_orderkey", *(F.coalesce(F.array_join(e[a], "|"), F.lit("")).alias(b) for a, b in (("tactics", "tactics"), ("terrain_notes", "terrain"))))
 
 
 @query("""SELECT o_orderkey, 'Look.' || chr(10) || 'A wind.' AS read_aloud, 'Notes ' || o_orderkey || ' here.' AS dm_notes FROM orders""")
@@ -319,7 +319,8 @@ def location_fields(spark: SparkSession, sf: str) -> DataFrame:
 @query("""SELECT c_custkey, 'Old Gerald' AS name, 'AC 5, hp ' || c_custkey AS stat_line, 'web|fly' AS spells, 'Old Gerald of ' || c_mktsegment || chr(10) || 'Spells: web (2x), fly' AS description FROM customer""")
 def npc_fields(spark: SparkSession, sf: str) -> DataFrame:
     text = F.concat(F.lit("Old Gerald of "), "c_mktsegment", F.lit("\nAC 5, hp "), F.col("c_custkey").cast("string"), F.lit("\nSpells: web (2x), fly"))
-    return table(spark, sf, "customer").select("c_custkey", E.npc(text).alias("f")).select("c_custkey", "f.name", "f.stat_line", F.array_join("f.spells", "|").alias("spells"), "f.description")
+    f = E.npc(F.col("t"))
+    return table(spark, sf, "customer").select("c_custkey", text.alias("t")).select("c_custkey", f["name"].alias("name"), f["stat_line"].alias("stat_line"), F.array_join(f["spells"], "|").alias("spells"), f["description"].alias("description"))
 
 
 @query()

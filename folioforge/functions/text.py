@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column
@@ -17,7 +18,14 @@ WIN1252_CHARS = "€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š
 
 
 def ascii_words(pattern: str) -> str:
-    """The pattern with ``\\b`` as a bound of ASCII words, also beside accented letters."""
+    """The pattern with ``\\b`` as a bound of ASCII words, also beside accented letters.
+
+    Before a word or a choice of words it looks back only, after a choice of words ahead only.
+    """
+    word = r"[A-Za-z0-9_]+(?: [A-Za-z0-9_]+)*"
+    choice = rf"\((?:\?:)?{word}(?:\|{word})*\)"
+    pattern = re.sub(rf"\\b(?=[A-Za-z0-9_](?![?*{{])|{choice}(?![?*{{]))", "(?<![A-Za-z0-9_])", pattern)
+    pattern = re.sub(rf"({choice})\\b", r"\1(?![A-Za-z0-9_])", pattern)
     return pattern.replace(r"\b", WORD_START_OR_END)
 
 

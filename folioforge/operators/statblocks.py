@@ -61,7 +61,8 @@ def inline_semicolon(block: Column, *, compat: bool = False) -> Column:
     out["count"] = F.try_to_number(trim_controls(group(head, HEADER, 1)), F.lit("9999999999")).cast("int")
     out |= {k: present(group(head, HEADER, n)) for k, n in (("name", 2), ("type", 3), ("descriptor", 4))}
     for k, p in INLINE.items():
-        out[k] = (squeezed if k in COMPACT_TAIL else present)(group(block, r"(?i)(?:^|[;:\s])" + p))
+        label, rest = p.split(r"\s+", 1)  # what stands before a label is looked at where the label is found
+        out[k] = (squeezed if k in COMPACT_TAIL else present)(group(block, rf"(?i){label}(?<![^;:\s]{label})\s+{rest}"))
     last = trim_controls(F.substring_index(block, ";", -1))
     label = r"^[A-Z]+\s+.*$" if compat else r"^(?:[A-Z]+\s+.*|(?i:AL|MV|hp|AC|HD|#AT|Dmg|THAC0)\s.*)$"
     out["notes"] = F.when(block.contains(";") & (F.length(F.substring_index(block, ";", -1)) > 1) & (last != "") & ~last.rlike(label), last)

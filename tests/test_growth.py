@@ -1,9 +1,11 @@
 """Work that must grow no faster than its input."""
 
+import re
 import time
 
 from pyspark.sql import functions as F
 
+from folioforge import catalogue
 from folioforge.functions import text as X
 
 
@@ -24,3 +26,15 @@ def test_repeated_lines_and_other_line_ends(spark):
     got = spark.createDataFrame([("",), (None,), ("\n\na\n a\n\na\nb  \nb ",)], "x string").select(X.collapse_repeats(F.col("x")).alias("y")).collect()
     assert [r.y for r in got] == ["", None, "\n\na\n\na\nb  \nb "]
     assert spark.createDataFrame([("\x00 a \u2028",)], "x string").select(X.trim_controls(F.col("x")).alias("y")).head().y == "a \u2028"
+
+
+def test_unread_members_are_not_computed(spark, sf_dir):
+    plan = lambda name: catalogue.queries()[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "magic item" not in plan("encounter_fields") and plan("stat_f1").count("Widgets") == 1
+
+
+def test_word_bounds_beside_words():
+    for pattern in (r"\b(attack|flee)\b", r"\bAC\b", r"\b(?:gp|pp x)\b", r"\b(ab|)\b", r"\b(a )\b", r"\b(ab)?\b", r"\ba?"):
+        short, full = re.compile(X.ascii_words(pattern), re.A), re.compile(pattern, re.A)
+        for t in ("attack", "xattack flee", "flee_", "AC 5", "éAC", "gp pp x", "a b ab", "ab-a ", ""):
+            assert [m.span() for m in short.finditer(t)] == [m.span() for m in full.finditer(t)], (pattern, t)
