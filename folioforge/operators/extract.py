@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from folioforge.functions.text import ascii_words, entirely_italic, group, lines, matches, trim_controls
+from folioforge.functions.text import ascii_words, entirely_italic, group, lines, matches, once, trim_controls, unless_empty
 
 from .sections import stat_fences, without_fences
 from .statblocks import SCHEMA as STAT
@@ -35,8 +35,8 @@ SCHEMA = f"struct<{','.join(f'{f}:string' for f in STRINGS)},{','.join(f'{f}:arr
 
 def _fields(**values: Column) -> Column:
     """The union of all types' fields; empty lists and strings are absent."""
-    text = {f: F.nullif(values[f], F.lit("")) if f in values else F.lit(None).cast("string") for f in [*STRINGS, *STAT_SECTION]}
-    many = {f: F.when(F.size(values[f]) > 0, values[f]) if f in values else F.lit(None).cast(f"array<{STAT}>" if f == "stat_blocks" else "array<string>") for f in [*LISTS, "stat_blocks"]}
+    text = {f: unless_empty(values[f]) if f in values else F.lit(None).cast("string") for f in [*STRINGS, *STAT_SECTION]}
+    many = {f: once(values[f], lambda v: F.when(F.size(v) > 0, v)) if f in values else F.lit(None).cast(f"array<{STAT}>" if f == "stat_blocks" else "array<string>") for f in [*LISTS, "stat_blocks"]}
     return F.struct(*(text[f].alias(f) for f in STRINGS), *(many[f].alias(f) for f in LISTS), *(text[f].alias(f) for f in STAT_SECTION), many["stat_blocks"].alias("stat_blocks"))
 
 
@@ -100,9 +100,10 @@ def npc(body: Column) -> Column:
 
 def encounter(body: Column) -> Column:
     text = without_fences(body)
-    parts = F.filter(F.transform(F.split(text, r"(?<=[.!?])\s+"), trim_controls), lambda x: x != "")
+    parts = F.split(text, r"(?<=[.!?])\s+")
+    about = lambda words: F.filter(F.transform(F.filter(parts, lambda x: matches(x, words)), trim_controls), lambda x: x != "")
     return _fields(
-        enemies=F.array_distinct(F.transform(all_matches(text, ENEMY), trim_controls)), tactics=F.filter(parts, lambda x: matches(x, TACTICS)), terrain_notes=F.filter(parts, lambda x: matches(x, TERRAIN)),
+        enemies=F.array_distinct(F.transform(all_matches(text, ENEMY), trim_controls)), tactics=about(TACTICS), terrain_notes=about(TERRAIN),
         treasure=F.array_join(treasure_sentences(text), " "), stat_blocks=blocks(body),
     )
 

@@ -68,5 +68,6 @@ def stat_fences(text: Column) -> Column:
 
 
 def without_fences(text: Column) -> Column:
-    return trim_controls(F.regexp_replace(F.regexp_replace(text, FENCE, ""), r"\n{3,}", "\n\n"))
+    outside = F.regexp_replace(F.regexp_replace(text, FENCE, ""), r"\n{3,}", "\n\n")
+    return trim_controls(F.when(text.contains("```stat\n") | text.contains("\n\n\n"), outside).otherwise(text))
 
