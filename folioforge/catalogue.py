@@ -431,12 +431,12 @@ def hough_votes(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"""{VOTES}, w AS (SELECT *, greatest(coalesce(max(votes) OVER (PARTITION BY img_id, theta ORDER BY rho RANGE BETWEEN 5 PRECEDING AND 1 PRECEDING), 0), coalesce(max(votes) OVER (PARTITION BY img_id, theta ORDER BY rho RANGE BETWEEN 1 FOLLOWING AND 5 FOLLOWING), 0)) AS m FROM votes)
 SELECT img_id, theta, rho, votes FROM w WHERE votes >= 5 AND votes > m""")
 def hough_nms(spark: SparkSession, sf: str) -> DataFrame:
-    return M.suppress(M.hough_votes(edge_points(spark, sf)), 5)
+    return M.hough_peaks(edge_points(spark, sf), 5)
 
 
 @query(f"{VOTES}, r AS (SELECT *, row_number() OVER (PARTITION BY img_id ORDER BY votes DESC, theta, rho) AS k FROM votes) SELECT img_id, theta, rho, votes FROM r WHERE k <= 20")
 def hough_topk(spark: SparkSession, sf: str) -> DataFrame:
-    return M.top_lines(M.hough_votes(edge_points(spark, sf)), 20)
+    return M.hough_top(edge_points(spark, sf), 20)
 
 
 CELLS = "cells AS (SELECT vec_id, (i // 16)::INT AS r, ((i % 8) // 2)::INT AS c, list_sort(list(v)) AS vs FROM (SELECT vec_id, unnest(embedding) AS v, generate_subscripts(embedding, 1) - 1 AS i FROM embeddings) GROUP BY vec_id, r, c)"
@@ -551,14 +551,14 @@ def band_histogram(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"{VOTES}, l AS (SELECT img_id, theta, count(*) AS n FROM votes WHERE votes >= 5 GROUP BY img_id, theta) SELECT img_id, theta, round(n / max(n) OVER (PARTITION BY img_id), 6) AS strength FROM l")
 def angle_histogram(spark: SparkSession, sf: str) -> DataFrame:
-    h = M.angle_histogram(M.hough_votes(edge_points(spark, sf)).where("votes >= 5"))
+    h = M.hough_angles(edge_points(spark, sf), 5)
     return h.withColumn("strength", F.round("strength", 6))
 
 
 @query(f"""{VOTES}, l AS (SELECT img_id, theta, count(*) AS n FROM votes WHERE votes >= 5 GROUP BY img_id, theta), p AS (SELECT img_id, theta, n, abs(img_id % 180 - theta) AS d FROM l),
 q AS (SELECT *, row_number() OVER (PARTITION BY img_id ORDER BY least(d, 180 - d), n DESC, theta) AS k FROM p WHERE least(d, 180 - d) <= 8) SELECT img_id, (img_id % 180)::INT AS target, theta FROM q WHERE k = 1""")
 def closest_angle(spark: SparkSession, sf: str) -> DataFrame:
-    peaks = M.angle_histogram(M.hough_votes(edge_points(spark, sf)).where("votes >= 5"))
+    peaks = M.hough_angles(edge_points(spark, sf), 5)
     targets = table(spark, sf, "embeddings").select(F.col("vec_id").alias("img_id"), (F.col("vec_id") % 180).cast("int").alias("target"))
     return G.closest_angle(targets, peaks, "img_id", 8)
 

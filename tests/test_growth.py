@@ -1,5 +1,6 @@
 """Work that must grow no faster than its input."""
 
+import random
 import re
 import time
 
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 from folioforge import catalogue
 from folioforge.functions import text as X
+from folioforge.operators import maps
 
 
 def seconds(f):
@@ -38,3 +40,21 @@ def test_word_bounds_beside_words():
         short, full = re.compile(X.ascii_words(pattern), re.A), re.compile(pattern, re.A)
         for t in ("attack", "xattack flee", "flee_", "AC 5", "éAC", "gp pp x", "a b ab", "ab-a ", ""):
             assert [m.span() for m in short.finditer(t)] == [m.span() for m in full.finditer(t)], (pattern, t)
+
+
+def test_votes_are_counted_where_an_images_points_are(spark):
+    rng = random.Random(0)
+    rows = [(k, rng.randrange(w), rng.randrange(w)) for k, n, w in [("a", 25_000, 300), ("b", 1, 3), (None, 40, 9), *((f"i{i}", 30, 8) for i in range(900))] for _ in range(n)]
+    points = spark.createDataFrame(rows, "k string, x int, y int").repartition(3).cache()
+    votes = maps.hough_votes(points, "k").cache()
+    rho = F.floor(F.col("x") * F.col("cos") + F.col("y") * F.col("sin") + 0.5).cast("int")
+    joined = points.crossJoin(maps.angles(spark)).groupBy("k", "theta", rho.alias("rho")).agg(F.count(F.lit(1)).alias("votes"))
+    assert votes.exceptAll(joined).count() == 0 == joined.exceptAll(votes).count()
+    for got, want in (
+        (maps.hough_peaks(points, 5, "k"), maps.suppress(votes, 5, "k")),
+        (maps.hough_top(points, 20, "k"), maps.top_lines(votes, 20, "k")),
+        (maps.hough_angles(points, 5, "k"), maps.angle_histogram(votes.where("votes >= 5"), "k").select("k", "theta", "strength")),
+    ):
+        assert got.exceptAll(want).count() == 0 == want.exceptAll(got).count() and want.count()
+    exchanges = re.findall(r"Exchange [^\n]*", maps.hough_peaks(points, 5, "k")._jdf.queryExecution().executedPlan().toString())
+    assert not any("theta" in x for x in exchanges), exchanges
