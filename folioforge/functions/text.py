@@ -1,10 +1,11 @@
-"""Text expressions: ``Column -> Column``, all of them JVM-side."""
+"""Text expressions: ``Column -> Column``, all of them JVM-side, and texts of Arrow batches."""
 
 from __future__ import annotations
 
 import re
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -33,6 +34,12 @@ def matches(c: Column, pattern: str) -> Column:
     return c.rlike(ascii_words(pattern))
 
 
+def by_few(f: Callable[[str], str], texts: pa.Array, rows: int = 256) -> pa.Array:
+    """``f`` of each text that is not null; no more than ``rows`` are Python objects at once."""
+    parts = (texts.slice(s, rows).to_pylist() for s in range(0, len(texts), rows))
+    return pa.concat_arrays([pa.array([], pa.string()), *(pa.array([None if t is None else f(t) for t in part], pa.string()) for part in parts)])
+
+
 def once(c: Column, f: Callable[[Column], Column]) -> Column:
     """``f`` of a value that is computed once, however often ``f`` names it: in branches Spark computes it each time."""
     return F.get(F.transform(F.array(c), f), F.lit(0))

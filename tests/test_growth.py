@@ -4,11 +4,12 @@ import random
 import re
 import time
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from folioforge import catalogue
 from folioforge.functions import text as X
-from folioforge.operators import maps
+from folioforge.operators import clean, maps
 
 
 def seconds(f):
@@ -58,3 +59,17 @@ def test_votes_are_counted_where_an_images_points_are(spark):
         assert got.exceptAll(want).count() == 0 == want.exceptAll(got).count() and want.count()
     exchanges = re.findall(r"Exchange [^\n]*", maps.hough_peaks(points, 5, "k")._jdf.queryExecution().executedPlan().toString())
     assert not any("theta" in x for x in exchanges), exchanges
+
+
+def test_joined_pieces_of_a_long_line():
+    c = clean.Cleaner({"damage": 1, "guard": 2})
+    line = " ".join(["da mage", "zz"] * 6000)
+    assert seconds(lambda: c.join_pieces(line)) < 5
+    assert c.join_pieces(line) == line.replace("da mage", "damage") and c.join_pieces("x da mage gu ar d") == "x damage guard"
+
+
+def test_few_texts_at_once():
+    seen = []
+    texts = pa.array(["a", None, "b"] * 400)
+    got = X.by_few(lambda t: seen.append(t) or t * 2, texts)
+    assert got.to_pylist() == ["aa", None, "bb"] * 400 and len(seen) == 800 and X.by_few(str, texts[:0]).to_pylist() == []
